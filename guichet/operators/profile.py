@@ -74,7 +74,7 @@ def exact_median(df: DataFrame, column: str) -> DataFrame:
     counts = counts.withColumn("b", prefix)
     hist = counts.groupBy("b").agg(F.sum("n").alias("m"))
     upto = F.sum("m").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, 0))
-    total = F.sum("m").over()
+    total = F.sum("m").over(Window.partitionBy())
     spans = hist.select("b", (upto - F.col("m")).alias("lo"), upto.alias("hi"), total.alias("total"))
     wanted = spans.select(
         "b", "lo", "total",

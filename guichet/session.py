@@ -56,6 +56,15 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Use every core on a table stored in fewer pieces than there are cores.
+
+    ``scan`` must be a plain read. A large table already has more pieces and is left alone.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 _shipped: set[str] = set()
 
 

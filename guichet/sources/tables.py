@@ -9,12 +9,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..schema import BALANCED_SCHEMA, DOCUMENT_SCHEMA, SPLIT_LABELS, STAGE_COLUMNS, TICKET_SCHEMA
 
-CSV_OPTIONS = {"header": True, "multiLine": True, "escape": '"', "enforceSchema": False}
+# Quotes are doubled inside quoted fields, and blanks at the ends of a field are kept.
+CSV_FORMAT = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def read_tickets_csv(spark: SparkSession, path: str, schema: str = TICKET_SCHEMA) -> DataFrame:
     """Ticket CSV with quoted line breaks; the header must match the schema."""
-    return spark.read.schema(schema).options(**CSV_OPTIONS).csv(path)
+    return spark.read.schema(schema).options(**CSV_FORMAT, multiLine=True, enforceSchema=False).csv(path)
 
 
 def read_split_csvs(spark: SparkSession, paths: Mapping[str, str], schema: str = BALANCED_SCHEMA) -> DataFrame:
@@ -30,7 +31,7 @@ def write_table(df: DataFrame, path: str, split: str | None = None) -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").options(header=True, escape='"').csv(path)
+    df.write.mode("overwrite").options(**CSV_FORMAT).csv(path)
 
 
 def read_stage(spark: SparkSession, path: str, stage: str) -> DataFrame:
