@@ -11,10 +11,14 @@ import pandas as pd
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import StringType
 
-# One whitespace character as Python's str.strip and str.split see it.
-WHITESPACE = (
-    r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+# The characters Python's str.strip and str.split treat as whitespace, as
+# code points, and the same set for use inside a regular expression's brackets.
+WHITESPACE_POINTS = [
+    *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
+]
+WHITESPACE_SET = (
+    r"\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
+    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
 )
 # A word of two or more letters, digits or underscores.
 WORD = r"[\p{L}\p{N}_]{2,}"
@@ -39,7 +43,7 @@ def text_or_empty(c: Column | str) -> Column:
 
 def strip(c: Column | str) -> Column:
     """Remove leading and trailing whitespace of every kind, not only spaces."""
-    return F.regexp_replace(as_col(c), f"^{WHITESPACE}+|{WHITESPACE}+$", "")
+    return F.btrim(as_col(c), F.lit("".join(map(chr, WHITESPACE_POINTS))))
 
 
 def full_text(titre: Column | str, texte: Column | str) -> Column:
@@ -48,8 +52,7 @@ def full_text(titre: Column | str, texte: Column | str) -> Column:
 
 def word_count(c: Column | str) -> Column:
     """Whitespace-separated words; 0 for an empty or blank text."""
-    stripped = strip(text_or_empty(c))
-    return F.when(stripped == "", F.lit(0)).otherwise(F.size(F.split(stripped, f"{WHITESPACE}+")))
+    return F.regexp_count(text_or_empty(c), F.lit(f"[^{WHITESPACE_SET}]+"))
 
 
 @functools.lru_cache(maxsize=1)

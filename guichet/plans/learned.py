@@ -7,7 +7,7 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from ..operators import cascade as C, evaluation as E, models as M, sampling as S, tfidf as W
+from ..operators import cascade as C, evaluation as E, sampling as S, tfidf as W
 from ..session import fresh_path
 from ..sources import models_dir, runlog, tables
 from ..streaming import monitor, scoring
@@ -15,8 +15,12 @@ from .registry import built_once, query
 from .standin import SQL_TICKETS, table, ticket_columns, tickets
 from .tabular import balanced, r6
 
-# About the number of terms the classifiers see in production; trees take the same block.
+# The registered training run: about as many terms as a ticket corpus of this size has, one
+# text block for classifiers and trees, and a bounded number of solver steps. The library
+# defaults are 50,000 terms and 2,000 steps.
 TRAINING_TFIDF = replace(W.MODEL_TFIDF, max_features=1_000)
+TRAINING_STEPS = 200
+PARALLEL_FOLDS = 5
 
 
 # --- stored tables -------------------------------------------------------------------------------
@@ -51,14 +55,11 @@ def trained(spark, sf) -> C.CascadeRun:
 
     def build():
         parts = S.stratified_split(balanced(spark, sf), group_col="origin")
-        return C.train_cascade(parts, TRAINING_TFIDF, group_col="origin", parallelism=M_PARALLEL, max_iter=M.MAX_ITER)
+        return C.train_cascade(parts, TRAINING_TFIDF, group_col="origin", parallelism=PARALLEL_FOLDS, max_iter=TRAINING_STEPS)
 
     return built_once(spark, sf, "cascade", build)
 
 
-M_PARALLEL = 5  # the folds of a stage train side by side
-
-
 def _scores(df, target, prediction):
     return E.accuracy_f1(df.filter(F.col(target).isNotNull()), target, prediction, ["split"]).select("split", *r6("accuracy", "f1_macro"), "n")
 

@@ -10,7 +10,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.draws import draw_key, draw_long
-from ..functions.text import WHITESPACE
+from ..functions.text import WHITESPACE_SET
 from ..operators import prepare as P
 from ..session import spread
 
@@ -62,12 +62,12 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- the same in SQL ---------------------------------------------------------------------------
 
 def sql_strip(x: str) -> str:
-    return f"regexp_replace({x}, '^{WHITESPACE}+|{WHITESPACE}+$', '', 'g')"
+    return f"regexp_replace({x}, '^[{WHITESPACE_SET}]+|[{WHITESPACE_SET}]+$', '', 'g')"
 
 
 def sql_word_count(x: str) -> str:
     s = sql_strip(f"coalesce({x}, '')")
-    return f"(CASE WHEN {s} = '' THEN 0 ELSE len(regexp_split_to_array({s}, '{WHITESPACE}+')) END)"
+    return f"(CASE WHEN {s} = '' THEN 0 ELSE len(regexp_split_to_array({s}, '[{WHITESPACE_SET}]+')) END)"
 
 
 def sql_draw(text: str) -> str:
