@@ -69,7 +69,7 @@ def _search_task(score: Callable[[pa.RecordBatch], np.ndarray], query_ids: list,
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: list = [None] * len(query_ids)
         for batch in batches:
-            if batch.num_rows == 0:
+            if batch.num_rows == 0 or not query_ids:
                 continue
             ids = batch.column(0).to_numpy(zero_copy_only=False)
             scores = np.round(score(batch), RANK_DIGITS) + 0.0
@@ -143,8 +143,8 @@ def _dense_blocks(q: DataFrame, d: DataFrame, query_id: str, doc_id: str, k: int
     blocks = -(-q.count() // (MAX_QUERIES // 2))
     parts = max(1, -(-d.count() // DOCS_PER_GROUP))
     left = q.select(F.col(query_id).alias("query_id"), "v", F.pmod(F.xxhash64(query_id), F.lit(blocks)).alias("block"),
-                    F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).cast("long").alias("part"))
-    right = d.select(F.col(doc_id).alias("id"), "v", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).cast("long").alias("block"),
+                    F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part"))
+    right = d.select(F.col(doc_id).alias("id"), "v", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"),
                      F.pmod(F.xxhash64(doc_id), F.lit(parts)).alias("part"))
 
     def score(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
