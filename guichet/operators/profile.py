@@ -60,34 +60,24 @@ def numeric_profile(df: DataFrame, column: str, approximate: bool = False) -> Da
     return df.agg(*aggs).withColumn("median", median.scalar())
 
 
-def exact_median(df: DataFrame, column: str) -> DataFrame:
+def exact_median(df: DataFrame, column: str, accuracy: int = 100_000) -> DataFrame:
     """One row with the exact median.
 
-    Values are counted first, so repeated values travel once. The middle is located
-    in a histogram of 16-bit value prefixes, and only the prefixes holding it are sorted.
+    A quantile sketch, whose rank error is known, brackets the middle. Everything outside the
+    bracket is only counted; inside it equal values are counted once and the few that are left
+    are put in order. No value range, however crowded, is sorted in one place.
     """
-    x = F.col(column).cast("double")
-    counts = df.filter(x.isNotNull()).groupBy(x.alias("v")).agg(F.count("*").alias("n"))
-    # An order-preserving prefix of a double: sign first, then exponent and leading digits.
-    prefix = F.when(F.col("v") == 0, F.lit(0)).otherwise(
-        (F.signum("v") * (F.lit(20_000) + F.floor(F.log2(F.abs("v")) * 16))).cast("long"))
-    counts = counts.withColumn("b", prefix)
-    hist = counts.groupBy("b").agg(F.sum("n").alias("m"))
-    upto = F.sum("m").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, 0))
-    total = F.sum("m").over(Window.partitionBy())
-    spans = hist.select("b", (upto - F.col("m")).alias("lo"), upto.alias("hi"), total.alias("total"))
-    wanted = spans.select(
-        "b", "lo", "total",
-        F.filter(
-            F.array(F.floor((F.col("total") + 1) / 2), F.floor(F.col("total") / 2) + 1),
-            lambda r: (r > F.col("lo")) & (r <= F.col("hi")),
-        ).alias("ranks"),
-    ).filter(F.size("ranks") > 0)
-    inside = counts.join(F.broadcast(wanted), "b")
-    run = F.sum("n").over(Window.partitionBy("b").orderBy("v").rowsBetween(Window.unboundedPreceding, 0))
-    picked = inside.withColumn("hi", F.col("lo") + run).withColumn("below", F.col("hi") - F.col("n"))
-    hits = picked.select("v", F.size(F.filter("ranks", lambda r: (r > F.col("below")) & (r <= F.col("hi")))).alias("k"))
-    return hits.agg((F.sum(F.col("v") * F.col("k")) / F.sum("k")).alias("median"))
+    values = df.select(F.col(column).cast("double").alias("v")).filter("v IS NOT NULL")
+    band = 4.0 / accuracy
+    bracket = values.agg(F.percentile_approx("v", F.array(F.lit(0.5 - band), F.lit(0.5 + band)), accuracy)).scalar()
+    side = F.when(F.col("v") < F.get(bracket, F.lit(0)), -1).when(F.col("v") > F.get(bracket, F.lit(1)), 1).otherwise(0)
+    counts = values.select("v", side.alias("side")).groupBy("side", F.when(F.col("side") == 0, F.col("v")).alias("v")).agg(F.count("*").alias("n"))
+    upto = F.sum("n").over(Window.orderBy("side", "v").rowsBetween(Window.unboundedPreceding, 0))
+    total = F.sum("n").over(Window.partitionBy())
+    placed = counts.select("v", "n", upto.alias("hi"), total.alias("total"))
+    middle = F.array(F.floor((F.col("total") + 1) / 2), F.floor(F.col("total") / 2) + 1)
+    hits = F.size(F.filter(middle, lambda r: (r > F.col("hi") - F.col("n")) & (r <= F.col("hi"))))
+    return placed.select("v", hits.alias("k")).filter("k > 0").agg((F.sum(F.col("v") * F.col("k")) / F.sum("k")).alias("median"))
 
 
 def prediction_profile(df: DataFrame, column: str) -> DataFrame:

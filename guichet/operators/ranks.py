@@ -12,6 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.draws import draw_bucket
+from ..session import settle
 
 MAX_CLASSES = 10_000  # a label column; more distinct values than this is a key, not a label
 
@@ -41,6 +42,20 @@ def bucketed_rank(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column
     return local.join(offsets, slot).withColumn(out, F.col("__offset") + F.col("__local")).drop("__bucket", "__offset", "__local")
 
 
+def sorted_rank(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], out: str = "rank") -> DataFrame:
+    """1-based rank within ``keys`` for any order columns, ties in no particular order.
+
+    The rows are range-partitioned by keys, order and a random tie-break, so neither a key nor
+    a tie is too big for a task, and written down with their piece number. A piece ranks its
+    own part of a key; the parts before it are added from the counts.
+    """
+    pieces = (
+        df.withColumn("__tie", F.rand(0))
+        .repartitionByRange(*keys, *order_by, "__tie").withColumn("__piece", F.spark_partition_id())
+    )
+    return bucketed_rank(settle(pieces, "ranges"), keys, [*order_by, "__tie"], F.col("__piece"), out).drop("__tie", "__piece")
+
+
 def cut_values(df: DataFrame, class_col: str, draw: str, cuts: Mapping[str, Sequence[int]]) -> DataFrame:
     """Per class, the draw value of the r-th smallest row for every r in ``cuts``.
 

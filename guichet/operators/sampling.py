@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.draws import draw_key, draw_long
 from ..schema import N_FOLDS, SEED, SPLIT_LABELS
-from .ranks import bucketed_rank, class_sizes, cut_values, label_by_cuts
+from .ranks import bucketed_rank, class_sizes, cut_values, label_by_cuts, sorted_rank
 
 # Share of the majority class and of the others after balancing.
 MAJORITY = "Basse"
@@ -79,13 +79,12 @@ def oversample(df: DataFrame, class_col: str, targets: Mapping[str, int], id_col
     return originals.unionByName(dup.select(*originals.columns))
 
 
-def unique_ids(df: DataFrame, id_col: str, order_col: str, span: int = 100_000, out: str | None = None) -> DataFrame:
+def unique_ids(df: DataFrame, id_col: str, order_by: Sequence[str], out: str | None = None) -> DataFrame:
     """Suffix repeated IDs: the first keeps its name, later ones get ``_dup_1``, ``_dup_2``...
 
-    ``order_col`` is a whole number unique within an ID; an ID's rows are numbered in
-    stretches of ``span`` order values, so one ID may own any share of the table.
+    One ID may own any share of the table.
     """
-    ranked = bucketed_rank(df, [id_col], [order_col], F.floor(F.col(order_col) / span), "__rank")
+    ranked = sorted_rank(df, [id_col], order_by, "__rank")
     name = F.col(id_col).cast("string")
     name = F.when(F.col("__rank") == 1, name).otherwise(F.concat(name, F.lit("_dup_"), (F.col("__rank") - 1).cast("string")))
     return ranked.withColumn(out or id_col, name).drop("__rank")

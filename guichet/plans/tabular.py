@@ -170,7 +170,7 @@ def oversample(spark, sf):
   SELECT l_orderkey, l_linenumber, CASE WHEN k = 1 THEN l_orderkey::varchar ELSE l_orderkey || '_dup_' || (k - 1) END AS line_id FROM r""")
 def dedup_ids(spark, sf):
     lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber")
-    return S.unique_ids(lines, "l_orderkey", "l_linenumber", out="line_id")
+    return S.unique_ids(lines, "l_orderkey", ["l_linenumber"], out="line_id")
 
 
 @query(f'{_SPLIT} SELECT "ID", urgence, split FROM split_rows')

@@ -39,16 +39,15 @@ def scalar_numeric(spark, sf):
         F.round(V.to_percent("l_discount") / (1 + F.col("l_tax")), 6).alias("pct"), F.round(1 + F.log("l_quantity"), 6).alias("log_count"))
 
 
-@query("""WITH m AS (SELECT conv_id, list(role ORDER BY turn) AS roles, list(text ORDER BY turn) AS texts FROM conversations GROUP BY 1),
-  x AS (SELECT conv_id, roles, texts, unnest(range(1, len(texts) + 1)) AS i FROM m)
-  SELECT conv_id, i::int AS place, roles[i] AS role, md5(texts[i]) AS text_md5, md5(texts[len(texts) + 1 - i]) AS mirror_md5,
-    array_to_string(list_slice(roles, 1, 2), ', ') AS first_roles FROM x""")
+@query("""WITH m AS (SELECT doc_id, string_split(text, chr(10)) AS lines FROM documents), x AS (SELECT doc_id, lines, unnest(range(1, len(lines) + 1)) AS i FROM m)
+  SELECT doc_id, i::int AS place, md5(lines[i]) AS line_md5, md5(lines[len(lines) + 1 - i]) AS mirror_md5, i || '/' || len(lines) AS label,
+    array_to_string(list_slice(lines, 1, 2), ', ') AS first_two FROM x""")
 def scalar_array_map(spark, sf):
-    turns = table(spark, sf, "conversations").groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("m"))
-    both = F.posexplode(F.arrays_zip("m", F.reverse("m").alias("r"))).alias("i", "z")
-    return turns.select("conv_id", F.array_join(F.slice("m.role", 1, 2), ", ").alias("first_roles"), both).select(
-        "conv_id", (F.col("i") + 1).alias("place"), F.col("z.m.role").alias("role"), F.md5("z.m.text").alias("text_md5"),
-        F.md5("z.r.text").alias("mirror_md5"), "first_roles")
+    lines = table(spark, sf, "documents").select("doc_id", F.split("text", "\n").alias("l"))
+    both = F.posexplode(F.arrays_zip("l", F.reverse("l").alias("r"))).alias("i", "z")
+    return lines.select("doc_id", F.array_join(F.slice("l", 1, 2), ", ").alias("first_two"), F.size("l").alias("n"), both).select(
+        "doc_id", (F.col("i") + 1).alias("place"), F.md5("z.l").alias("line_md5"), F.md5("z.r").alias("mirror_md5"),
+        F.format_string("%d/%d", F.col("i") + 1, F.col("n")).alias("label"), "first_two")
 
 
 @query("""SELECT event_id, json_extract(props, '$.k')::bigint AS k, '{"event_type":"' || event_type || '","k":' || json_extract(props, '$.k') || '}' AS packed FROM events""")

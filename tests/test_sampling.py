@@ -98,11 +98,17 @@ def test_bucketed_rank_equals_row_number(spark):
 
 def test_unique_ids_with_one_hot_id(spark):
     df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("x"), F.col("id").cast("string"))).alias("name"), F.col("id").alias("row"))
-    out = {r.row: r.unique for r in S.unique_ids(df, "name", "row", span=100, out="unique").collect()}
+    out = {r.row: r.unique for r in S.unique_ids(df, "name", ["row"], out="unique").collect()}
     assert len(set(out.values())) == 3000
     assert out[0] == "hot" and out[3] == "hot_dup_1" and out[2997] == "hot_dup_999" and out[1] == "x1"
 
 
+def test_unique_ids_with_ties_only(spark):
+    df = spark.range(1000).select(F.lit("same").alias("name"), F.lit(1).alias("row"))
+    got = {r.name for r in S.unique_ids(df, "name", ["row"]).collect()}
+    assert got == {"same"} | {f"same_dup_{i}" for i in range(1, 1000)}
+
+
 def test_class_sizes_refuses_keys(spark, monkeypatch):
     monkeypatch.setattr("guichet.operators.ranks.MAX_CLASSES", 10)
     with pytest.raises(ValueError, match="distinct"):
