@@ -19,10 +19,11 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from ..functions.vectors import RANK_DIGITS
 from .tfidf import TfidfModel
 
-MAX_QUERIES = 2_000  # queries one task holds at a time
-MAX_QUERY_BYTES = 64 << 20
-DOCS_PER_GROUP = 50_000
+MAX_QUERIES = 10_000  # queries one task holds at a time
+MAX_QUERY_BYTES = 128 << 20
+DOCS_PER_GROUP = 20_000
 CELLS = 4_000_000  # score cells or products a kernel holds at a time
+DENSE_TERMS = 4_096  # vocabularies up to this size are scored by matrix product
 
 
 # --- kernels: (documents of one batch, queries) -> scores, higher is better -----------------
@@ -37,14 +38,24 @@ def dense_scores(docs: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarr
 
 def sparse_scores(indices: np.ndarray, values: np.ndarray, lengths: np.ndarray, queries: np.ndarray) -> np.ndarray:
     """Dot products of unit sparse documents, given as concatenated entries, with dense queries."""
+    terms, ends = queries.shape[1], np.cumsum(lengths)
     scores = np.zeros((len(queries), len(lengths)))
-    filled = np.flatnonzero(lengths)
-    if len(filled) == 0:
+    if terms <= DENSE_TERMS:
+        rows = np.repeat(np.arange(len(lengths)), lengths)
+        step = max(1, CELLS // terms)
+        for start in range(0, len(lengths), step):
+            stop = min(start + step, len(lengths))
+            entries = slice(ends[start] - lengths[start], ends[stop - 1])
+            block = np.zeros((stop - start, terms))
+            block[rows[entries] - start, indices[entries]] = values[entries]
+            scores[:, start:stop] = queries @ block.T
         return scores
-    starts = np.concatenate([[0], np.cumsum(lengths[filled])[:-1]]).astype(np.int64)
-    step = max(1, CELLS // len(indices))
-    for q in range(0, len(queries), step):
-        scores[q:q + step, filled] = np.add.reduceat(queries[q:q + step][:, indices] * values, starts, axis=1)
+    filled = np.flatnonzero(lengths)
+    if len(filled):
+        starts = (ends - lengths)[filled]
+        step = max(1, CELLS // len(indices))
+        for q in range(0, len(queries), step):
+            scores[q:q + step, filled] = np.add.reduceat(queries[q:q + step][:, indices] * values, starts, axis=1)
     return scores
 
 
@@ -108,6 +119,28 @@ def _small_batch(queries: DataFrame, row_bytes: int) -> list | None:
     return rows if len(rows) <= limit else None
 
 
+def _block_search(q: DataFrame, d: DataFrame, query_id: str, doc_id: str, k: int, schema: StructType,
+                  score: Callable[[pd.DataFrame, pd.DataFrame], np.ndarray]) -> DataFrame:
+    """Every bounded block of queries meets every bounded part of the documents once; a meeting yields k rows per query."""
+    blocks = -(-q.count() // max(1, MAX_QUERIES // 2))
+    parts = max(1, -(-d.count() // DOCS_PER_GROUP))
+    numbers = lambda n: F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long")))
+    left = q.withColumnRenamed(query_id, "query_id").withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(blocks))).withColumn("part", numbers(parts))
+    right = d.withColumnRenamed(doc_id, "id").withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts))).withColumn("block", numbers(blocks))
+
+    def meet(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        step = max(1, CELLS // max(1, len(b)))
+        for start in range(0, len(a) if len(b) else 0, step):
+            some = a.iloc[start:start + step]
+            scores = np.round(score(some, b), RANK_DIGITS) + 0.0
+            for name, row in zip(some["query_id"], scores):
+                found += [(name, i, s) for i, s in zip(*keep_best(b["id"].to_numpy(), row, k))]
+        return pd.DataFrame(found, columns=["query_id", "id", "score"])
+
+    return left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInPandas(meet, schema)
+
+
 # --- dense -----------------------------------------------------------------------------------
 
 def dense_search(queries: DataFrame, docs: DataFrame, k: int = 3, metric: str = "cosine", query_id: str = "query_id", query_vec: str = "embedding",
@@ -131,37 +164,16 @@ def dense_search(queries: DataFrame, docs: DataFrame, k: int = 3, metric: str =
 
         candidates = d.mapInArrow(_search_task(score, ids, k, schema), schema)
     else:
-        candidates = _dense_blocks(q, d, query_id, doc_id, k, metric, schema)
+        def meeting(a: pd.DataFrame, b: pd.DataFrame) -> np.ndarray:
+            return dense_scores(np.stack(b["v"].to_numpy()), np.stack(a["v"].to_numpy()), metric)
+
+        candidates = _block_search(q, d, query_id, doc_id, k, schema, meeting)
     ranked = best_per_query(candidates, k)
     if metric == "l2sq":
         return ranked.select("query_id", "id", "rank", (-F.col("score")).alias("distance"))
     return ranked.select("query_id", "id", "rank", F.col("score").alias("similarity"), (1 - F.col("score")).alias("distance"))
 
 
-def _dense_blocks(q: DataFrame, d: DataFrame, query_id: str, doc_id: str, k: int, metric: str, schema: StructType) -> DataFrame:
-    """Every bounded block of queries meets every bounded part of the documents once."""
-    blocks = -(-q.count() // (MAX_QUERIES // 2))
-    parts = max(1, -(-d.count() // DOCS_PER_GROUP))
-    left = q.select(F.col(query_id).alias("query_id"), "v", F.pmod(F.xxhash64(query_id), F.lit(blocks)).alias("block"),
-                    F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))).alias("part"))
-    right = d.select(F.col(doc_id).alias("id"), "v", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"),
-                     F.pmod(F.xxhash64(doc_id), F.lit(parts)).alias("part"))
-
-    def score(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
-        found = []
-        if len(a) and len(b):
-            ids, matrix = b["id"].to_numpy(), np.stack(b["v"].to_numpy())
-            step = max(1, CELLS // len(ids))
-            for start in range(0, len(a), step):
-                some = a.iloc[start:start + step]
-                scores = np.round(dense_scores(matrix, np.stack(some["v"].to_numpy()), metric), RANK_DIGITS) + 0.0
-                for name, row in zip(some["query_id"], scores):
-                    found += [(name, i, s) for i, s in zip(*keep_best(ids, row, k))]
-        return pd.DataFrame(found, columns=["query_id", "id", "score"])
-
-    return left.groupBy("block", "part").cogroup(right.groupBy("block", "part")).applyInPandas(score, schema)
-
-
 # --- TF-IDF ----------------------------------------------------------------------------------
 
 def index_vectors(model: TfidfModel, df: DataFrame, id_col: str = "id") -> DataFrame:
@@ -181,22 +193,33 @@ def tfidf_search(queries: DataFrame, model: TfidfModel, vectors: DataFrame, k: i
     q = index_vectors(model, queries.select(F.col(query_id).alias("id"), F.col(query_text).alias(text_col)))
     d = vectors.select("id", "indices", "weights")
     schema = _hit_schema(queries, query_id, d, "id")
-    rows = _small_batch(q, 8 * model.size)
+    size = model.size
+
+    def dense_queries(indices, weights) -> np.ndarray:
+        matrix = np.zeros((len(indices), size))
+        for row, i, w in zip(matrix, indices, weights):
+            row[i] = w
+        return matrix
+
+    rows = _small_batch(q, 8 * size)
     if rows is not None:
-        ids, matrix = [r["id"] for r in rows], np.zeros((len(rows), model.size))
-        for i, r in enumerate(rows):
-            matrix[i, r["indices"]] = r["weights"]
+        matrix = dense_queries([r["indices"] for r in rows], [r["weights"] for r in rows])
 
         def score(batch: pa.RecordBatch) -> np.ndarray:
             idx, w = batch.column(1), batch.column(2)
             lengths = np.diff(idx.offsets.to_numpy(zero_copy_only=False))
             return sparse_scores(idx.flatten().to_numpy(zero_copy_only=False), w.flatten().to_numpy(zero_copy_only=False), lengths, matrix)
 
-        candidates = d.mapInArrow(_search_task(score, ids, k, schema), schema)
-        if not fill_zero:
-            candidates = candidates.filter("score > 0")
+        candidates = d.mapInArrow(_search_task(score, [r["id"] for r in rows], k, schema), schema)
     else:
-        candidates = _postings_join(q, d, k, fill_zero)
+        def meeting(a: pd.DataFrame, b: pd.DataFrame) -> np.ndarray:
+            lengths = b["indices"].str.len().to_numpy()
+            return sparse_scores(np.concatenate(b["indices"].to_numpy()), np.concatenate(b["weights"].to_numpy()), lengths,
+                                 dense_queries(a["indices"], a["weights"]))
+
+        candidates = _block_search(q, d, "id", "id", k, schema, meeting)
+    if not fill_zero:
+        candidates = candidates.filter("score > 0")
     return best_per_query(candidates, k).select(
         "query_id", "id", "rank", F.col("score").alias("similarity"), (1 - F.col("score")).alias("distance"))
 
@@ -207,21 +230,6 @@ def postings(vectors: DataFrame) -> DataFrame:
         "id", F.col("e.indices").alias("index"), F.col("e.weights").alias("weight"))
 
 
-def _postings_join(q: DataFrame, d: DataFrame, k: int, fill_zero: bool) -> DataFrame:
-    """Inverted-index scoring: query terms meet the postings of the same term; products are summed per pair."""
-    a = postings(q).select(F.col("id").alias("query_id"), "index", F.col("weight").alias("wq"))
-    hits = (
-        postings(d).join(a, "index").groupBy("query_id", "id")
-        .agg(F.round(F.sum(F.col("wq") * F.col("weight")), RANK_DIGITS).alias("score")).filter("score > 0")
-    )
-    if not fill_zero:
-        return hits
-    # The k lowest ids always hold enough non-matching documents to fill k places.
-    lowest = d.select("id").orderBy("id").limit(k).agg(F.collect_list("id")).scalar()
-    filler = q.select(F.col("id").alias("query_id"), F.explode(lowest).alias("id"), F.lit(0.0).alias("score"))
-    return hits.unionByName(filler).groupBy("query_id", "id").agg(F.max("score").alias("score"))
-
-
 def attach_documents(hits: DataFrame, docs: DataFrame, doc_id: str = "id") -> DataFrame:
     """Hits with the document's other columns. AQE broadcasts the hits when they turn out small."""
     return hits.join(docs.withColumnRenamed(doc_id, "id") if doc_id != "id" else docs, "id")
