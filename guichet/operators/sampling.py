@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.draws import draw_key, draw_long
+from ..functions.draws import draw_bucket, draw_key, draw_long
 from ..schema import N_FOLDS, SEED, SPLIT_LABELS
 from .ranks import bucketed_rank, class_sizes, cut_values, label_by_cuts, sorted_rank
 
@@ -64,9 +64,11 @@ def oversample(df: DataFrame, class_col: str, targets: Mapping[str, int], id_col
     rank = F.pmod(draw_long(draw_key(seed, F.lit("draw"), F.col(class_col), F.col("__j"))), F.col("__size")) + 1
     copies = draws.select(class_col, rank.alias("__rank")).groupBy(class_col, "__rank").agg(F.count("*").alias("__copies"))
 
-    keyed = originals.filter(F.col(class_col).isin(list(extra))).withColumn("__draw", draw_key(seed, F.lit("rank"), F.col(id_col)))
-    ranked = bucketed_rank(keyed, [class_col], ["__draw"], F.substring("__draw", 1, 4), "__rank").drop("__draw")
-    picked = ranked.join(copies, [class_col, "__rank"]).drop("__rank")
+    # Ranking and matching need two columns; the rows themselves are shuffled once, by ID.
+    growing = originals.filter(F.col(class_col).isin(list(extra)))
+    keyed = growing.select(id_col, class_col, draw_key(seed, F.lit("rank"), F.col(id_col)).alias("__draw"))
+    ranked = bucketed_rank(keyed, [class_col], ["__draw"], draw_bucket(F.col("__draw")), "__rank")
+    picked = growing.join(ranked.join(copies, [class_col, "__rank"]).select(id_col, "__copies"), id_col)
 
     # A row may be copied any number of times: blocks of copies first, spread over tasks.
     block = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("__copies") - 1) / COPIES_PER_TASK_ROW)))
