@@ -135,3 +135,8 @@ def percent_bar(pct: Column | str) -> Column:
 
 def metadata_get(metadata: Column | str, key: str, default: str = "N/A") -> Column:
     return F.coalesce(F.try_element_at(as_col(metadata), F.lit(key)), F.lit(default))
+
+
+def now_text(pattern: str = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS") -> Column:
+    """The time the query started, ISO 8601 unless another pattern is given."""
+    return F.date_format(F.current_timestamp(), pattern)

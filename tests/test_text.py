@@ -78,3 +78,8 @@ def test_draws_are_stable_and_spread(spark):
     df = spark.range(20000).select(draws.draw_long(draws.draw_key(42, F.col("id"))).alias("d"))
     r = df.agg(F.min("d").alias("lo"), F.avg((F.col("d") % 10 == 3).cast("double")).alias("share"), F.count_distinct("d").alias("n")).first()
     assert r.lo >= 0 and abs(r.share - 0.1) < 0.01 and r.n == 20000
+
+
+def test_now_text(spark):
+    r = spark.range(1).select(T.now_text().alias("iso"), T.now_text("yyyy-MM-dd HH:mm:ss").alias("plain")).first()
+    assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{6}", r.iso) and re.fullmatch(r"\d{4}-\d\d-\d\d \d\d:\d\d:\d\d", r.plain)
