@@ -9,6 +9,7 @@ import pytest
 import __spark_entry__ as entry_point
 
 from conftest import SF
+from guichet.plans.catalog import ORACLES, QUERIES
 
 TRAINED = {"train_urgency", "train_category", "train_type", "train_time", "feature_vectors", "oof_predictions", "cascade_score", "model_roundtrip", "stream_score"}
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
@@ -35,14 +36,15 @@ def ordered(rows):
 
 
 def test_only_trained_models_have_no_sql():
-    assert set(entry_point.queries()) - set(entry_point.oracle_sql()) == TRAINED
+    assert set(QUERIES) - set(ORACLES) == TRAINED
+    assert set(QUERIES) <= set(entry_point.queries())
 
 
-@pytest.mark.parametrize("name", sorted(entry_point.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_matches_sql(spark, duck, name):
     df = entry_point.queries()[name](spark, SF)
     columns = sorted(df.columns)
-    cursor = duck.execute(entry_point.oracle_sql()[name])
+    cursor = duck.execute(ORACLES[name])
     names = [d[0] for d in cursor.description]
     assert sorted(names) == columns
     want = ordered([tuple(plain(r[names.index(c)]) for c in columns) for r in cursor.fetchall()])
