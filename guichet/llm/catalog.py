@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, lines, logbilinear, secrets, simhash  # noqa: F401  (importing registers the queries)
+from . import decontaminate, lines, logbilinear, mixture, secrets, simhash  # noqa: F401  (importing registers the queries)
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]

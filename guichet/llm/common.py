@@ -48,15 +48,15 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, max_bytes: int) -> It
             yield batch.slice(start)
 
 
-def running_offset(df: DataFrame, groups: list[str], order: list[str], weight: str, name: str, rows: int, per_piece: int = 50_000) -> DataFrame:
+def running_offset(df: DataFrame, groups: list[str], order: list[str], weight: str, name: str, rows: int, deal: list[str] | None = None, per_piece: int = 50_000) -> DataFrame:
     """Add ``name``: the sum of ``weight`` over the rows before this one in its group.
 
-    Rows are dealt to pieces by a hash of ``order`` and sorted inside their piece, so a group that holds
-    most of the table is many bounded windows. The order is pseudorandom by piece but repeats on every
-    run. Rows that tie in ``order`` follow one another in any order.
+    Rows are dealt to pieces by a hash of ``deal`` (by default ``order``) and sorted inside their piece, so a
+    group that holds most of the table is many bounded windows. The order of the pieces is pseudorandom but
+    repeats on every run. Rows that tie in ``order`` follow one another in any order.
     """
     pieces = max(1, -(-rows // per_piece))
-    cut = df.withColumn("_piece", F.pmod(F.xxhash64(F.lit(7), *order), F.lit(pieces)))
+    cut = df.withColumn("_piece", F.pmod(F.xxhash64(F.lit(7), *(deal or order)), F.lit(pieces)))
     totals = cut.groupBy(*groups, "_piece").agg(F.sum(weight).alias("_total"))
     before = Window.partitionBy(*groups).orderBy("_piece").rowsBetween(Window.unboundedPreceding, -1)
     totals = totals.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(groups)], F.col("_piece").alias("_p"), F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_before"))
