@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontaminate, kdtree, lines, logbilinear, mixture, secrets, simhash, spread, urls  # noqa: F401  (importing registers the queries)
+from . import decontaminate, kdtree, lines, logbilinear, mixture, packing, secrets, simhash, spread, urls  # noqa: F401  (importing registers the queries)
 from .registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
