@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import settle
@@ -15,102 +13,93 @@ from .registry import query, table
 VALUE_BITS, HASH_BITS = 20, 40
 #: Pieces that each pass cuts a bracket into; a cut is settled when its bracket holds less than this share of a leaf.
 BINS, CLOSE = 1_024, 1e-4
+#: Nodes of a level that are sent to all tasks.
+BROADCAST = 10_000
+#: Bytes of a leaf where nothing else is asked for.
+TARGET_BYTES = 256 << 20
 #: Equal texts stay together up to this share of a leaf; a larger group is split.
 GROUP_SHARE = 0.005
 
 
-@dataclass
-class Node:
-    """A part of the tree: how many leaves lie under it, its first leaf, and its cut once it is found."""
-
-    leaves: int
-    first: int
-    weight: int = 0
-    dim: int = -1
-    cut: int = 0
-    parts: list[Node] = field(default_factory=list)
-
-
 def text_code(value: Column) -> Column:
     """The first six bytes of a text as a number, so that texts keep their order; null comes first."""
     padded = F.rpad(F.hex(F.substring(F.coalesce(value, F.lit("")).cast("binary"), 1, 6)), 12, "0")
     return F.conv(padded, 16, 10).cast("long")
 
 
-def _assign(node: Node, keys: list[str]) -> Column:
-    """The first leaf of the part that a row belongs to, as one expression over the tree so far."""
-    if not node.parts:
-        return F.lit(node.first)
-    left, right = node.parts
-    return F.when(F.col(keys[node.dim]) < F.lit(node.cut), _assign(left, keys)).otherwise(_assign(right, keys))
-
-
-def _open(node: Node) -> list[Node]:
-    if node.parts:
-        return [x for part in node.parts for x in _open(part)]
-    return [node] if node.leaves > 1 else []
-
-
-def _cuts(points: DataFrame, root: Node, nodes: list[Node], keys: list[str], leaf: float) -> None:
-    """Find the weighted quantile of each node along its dimension: histograms of ever narrower brackets, all nodes at once."""
-    top = 1 << (VALUE_BITS + HASH_BITS)
-    state = {n.first: [0, top, 0] for n in nodes}  # bracket, and the weight before it
-    along = {n.first: keys[n.dim] for n in nodes}
-    share = {n.first: n.weight * (n.leaves // 2) / n.leaves for n in nodes}
-    done: dict[int, int] = {}
-    here = points.withColumn("node", _assign(root, keys)).filter(F.col("node").isin(list(state)))
-    while len(done) < len(nodes):
-        bins = None
-        for at, (lo, hi, _) in state.items():
-            if at in done:
-                continue
-            step, key = max(1, -(-(hi - lo) // BINS)), F.col(along[at])
-            inside = (F.col("node") == at) & (key >= lo) & (key < hi)
-            place = F.floor((key - F.lit(lo)) / F.lit(step)) if step == 1 else (F.expr(f"({along[at]} - {lo}L) div {step}L"))
-            bins = F.when(inside, place) if bins is None else bins.when(inside, place)
-        found = here.withColumn("bin", bins).filter("bin IS NOT NULL").groupBy("node", "bin").agg(F.sum("weight").alias("weight")).collect()
-        for at, (lo, hi, before) in list(state.items()):
-            if at in done:
-                continue
-            step, target = max(1, -(-(hi - lo) // BINS)), share[at]
-            rows = sorted((r.bin, r.weight) for r in found if r.node == at)
-            for k, weight in rows:
-                if before + weight > target:
-                    break
-                before += weight
-            else:
-                done[at] = hi
-                continue
-            start, stop = lo + k * step, min(hi, lo + (k + 1) * step)
-            if weight <= CLOSE * leaf or step == 1:
-                done[at] = stop if abs(before + weight - target) < abs(before - target) else start
-            else:
-                state[at] = [start, stop, before]
-    for n in nodes:
-        n.cut = done[n.first]
-
-
-def grow_tree(points: DataFrame, dims: int, leaves: int) -> Node:
-    """Split ``points`` (d0, d1, ...: values from 0 to 1; h: tie hash; weight) until there are ``leaves`` parts of equal weight.
-
-    All nodes of a level are split by the same jobs. A node is split along the dimension in which its values
-    spread widest, in proportion to the leaves on each side. The driver sees one row for each node and bin.
+def _small(nodes: DataFrame, rows: int) -> DataFrame:
+    """One row for each node: sent to all tasks up to BROADCAST rows. More nodes are small parts of the table each, and are joined by shuffle."""
+    return F.broadcast(nodes) if rows <= BROADCAST else nodes
+
+
+def _pick(dim: Column, values: list[Column]) -> Column:
+    out = F.lit(None)
+    for k, v in enumerate(values):
+        out = F.when(dim == k, v).otherwise(out)
+    return out
+
+
+def _open_nodes(points: DataFrame, dims: int) -> DataFrame:
+    """For each part with several leaves: the dimension in which it spreads widest, and the weight that goes to its lower half."""
+    spread = points.filter("leaves > 1").groupBy("first", "leaves").agg(F.sum("weight").alias("weight"), *[f(f"{c}{k}").alias(f"{n}_{c}{k}") for k in range(dims) for c in ("d", "key") for n, f in (("lo", F.min), ("hi", F.max))])
+    widest = F.greatest(*[F.struct((F.col(f"hi_d{k}") - F.col(f"lo_d{k}")).alias("w"), F.lit(-k).alias("dim")) for k in range(dims)]) if dims > 1 else F.struct(F.lit(0).alias("w"), F.lit(0).alias("dim"))
+    spread = spread.withColumn("dim", -widest["dim"])
+    half = F.expr("leaves div 2")
+    return spread.select(F.col("first").alias("node"), half.alias("half"), "dim", _pick(F.col("dim"), [F.col(f"lo_key{k}") for k in range(dims)]).alias("lo"),
+                         (_pick(F.col("dim"), [F.col(f"hi_key{k}") for k in range(dims)]) + 1).alias("hi"), F.lit(0).cast("long").alias("before"),
+                         (F.col("weight") * half / F.col("leaves")).alias("target"), F.lit(None).cast("long").alias("cut"))
+
+
+def _cuts(points: DataFrame, nodes: DataFrame, dims: int, n_nodes: int, leaf: float) -> DataFrame:
+    """(node, half, dim, cut): each node's weighted quantile, from histograms of ever narrower brackets, all nodes in the same jobs.
+
+    A pass sums the weights of BINS bins of each node's bracket and keeps the bin that holds the target. At most
+    BINS rows of a node meet in a window.
+    """
+    along = _pick(F.col("dim"), [F.col(f"key{k}") for k in range(dims)])
+    state, found = settle(nodes, "nodes"), []
+    for _ in range(VALUE_BITS + HASH_BITS):
+        step = F.greatest(F.lit(1).cast("long"), F.ceil((F.col("hi") - F.col("lo")) / BINS).cast("long"))
+        ready = state.withColumn("step", step)
+        here = points.join(_small(ready, n_nodes), F.col("first") == F.col("node")).withColumn("at", along).filter("at >= lo AND at < hi")
+        bins = here.groupBy("node", F.expr("(at - lo) div step").alias("bin")).agg(F.sum("weight").alias("weight"))
+        upto = Window.partitionBy("node").orderBy("bin")
+        bins = bins.select(F.col("node").alias("_node"), "bin", "weight", F.sum("weight").over(upto).alias("upto")).join(_small(ready, n_nodes), F.col("_node") == F.col("node"))
+        # The first bin that passes the target; without one, by rounding, the cut is the end of the bracket.
+        passing = F.min(F.when(F.col("before") + F.col("upto") > F.col("target"), F.struct("bin", "weight", "upto")))
+        chosen = bins.groupBy("node", "half", "dim", "lo", "hi", "before", "target", "step").agg(passing.alias("b"))
+        start, low = F.col("lo") + F.col("b.bin") * F.col("step"), F.col("before") + F.col("b.upto") - F.col("b.weight")
+        stop = F.least(F.col("hi"), start + F.col("step"))
+        nearer = F.when(F.col("before") + F.col("b.upto") - F.col("target") < F.col("target") - low, stop).otherwise(start)
+        cut = F.when(F.col("b").isNull(), F.col("hi")).when((F.col("b.weight") <= F.lit(CLOSE * leaf)) | (F.col("step") == 1), nearer)
+        state = settle(chosen.select("node", "half", "dim", start.alias("lo"), stop.alias("hi"), low.alias("before"), "target", cut.alias("cut")), "nodes")
+        found.append(state.filter("cut IS NOT NULL").select("node", "half", "dim", "cut"))
+        state = state.filter("cut IS NULL")
+        if state.isEmpty():
+            break
+    cuts = found[0]
+    for more in found[1:]:
+        cuts = cuts.union(more)
+    return cuts
+
+
+def grow_tree(points: DataFrame, dims: int, leaves: int) -> DataFrame:
+    """``points`` with ``first``, the leaf that each row belongs to, of ``leaves`` leaves with nearly equal weight.
+
+    Columns d0, d1, ... are values from 0 to 1 and key0, key1, ... their positions with ties told apart; weight counts.
+    All parts of a level are split by the same jobs, each along the dimension in which its values spread widest,
+    in proportion to the leaves on each side. The tree stays in tables; the driver only learns when a level is done.
     """
-    keys = [f"key{k}" for k in range(dims)]
+    points = points.withColumn("first", F.lit(0)).withColumn("leaves", F.lit(leaves))
     total = points.agg(F.sum("weight")).first()[0] or 0
-    root = Node(leaves, 0, int(total))
-    while nodes := _open(root):
-        spread = points.withColumn("node", _assign(root, keys)).groupBy("node").agg(F.sum("weight").alias("weight"), *[f(f"d{k}").alias(f"{n}{k}") for k in range(dims) for n, f in (("lo", F.min), ("hi", F.max))])
-        seen = {r.node: r for r in spread.collect()}
-        for n in nodes:
-            r = seen.get(n.first)
-            n.weight = int(r.weight) if r else 0
-            n.dim = max(range(dims), key=lambda k: (r[f"hi{k}"] - r[f"lo{k}"], -k)) if r else 0
-        _cuts(points, root, nodes, keys, total / leaves)
-        for n in nodes:
-            half = n.leaves // 2
-            n.parts = [Node(half, n.first), Node(n.leaves - half, n.first + half)]
-    return root
+    for level in range((leaves - 1).bit_length()):
+        cuts = _cuts(points, _open_nodes(points, dims), dims, 1 << level, total / leaves)
+        joined = points.join(_small(cuts, 1 << level), F.col("first") == F.col("node"), "left")
+        upper = _pick(F.col("dim"), [F.col(f"key{k}") for k in range(dims)]) >= F.col("cut")
+        first = F.when(upper, F.col("first") + F.col("half")).otherwise(F.col("first")).cast("int")
+        count = F.when(F.col("node").isNull(), F.col("leaves")).when(upper, F.col("leaves") - F.col("half")).otherwise(F.col("half")).cast("int")
+        points = settle(joined.withColumns({"first": first, "leaves": count}).drop("node", "half", "dim", "cut"), "points")
+    return points
 
 
 def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | None = None, id_col: str = "doc_id", text_col: str = "text",
@@ -131,7 +120,7 @@ def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | No
     rows = docs.select(F.col(id_col).alias("id"), k1.alias("k1"), k2.alias("k2"), size.cast("long").alias("size"), F.crc32(F.coalesce(F.col(text_col), F.lit("")).cast("binary")).alias("text_crc32"), *[v.alias(f"m{k}") for k, v in enumerate(values)])
     rows = settle(rows, "metadata")
     ends = rows.agg(F.count("*").alias("n"), F.sum("size").alias("bytes"), *[f(f"m{k}").alias(f"{n}{k}") for k in range(dims) for n, f in (("lo", F.min), ("hi", F.max))]).first()
-    leaves = shards or max(1, -(-(ends.bytes or 0) // (target_bytes or 1 << 30)))
+    leaves = int(shards or max(1, -(-(ends.bytes or 0) // (target_bytes or TARGET_BYTES))))
     limit = max(1, int(GROUP_SHARE * (ends.bytes or 0) / leaves))
     groups = rows.groupBy("k1", "k2").agg(F.sum("size").alias("together"), F.min(F.struct("id", *[f"m{k}" for k in range(dims)])).alias("first"))
     parts = F.greatest(F.ceil(F.col("together") / limit), F.lit(1))
@@ -147,8 +136,7 @@ def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | No
     for k in range(dims):
         scaled = scaled.withColumn(f"key{k}", F.shiftleft(F.least(F.floor(F.col(f"d{k}") * (1 << VALUE_BITS)), F.lit((1 << VALUE_BITS) - 1)).cast("long"), HASH_BITS) + F.col("tie"))
     points = settle(scaled.select("id", "k1", "k2", "size", "text_crc32", F.col("size").alias("weight"), *[f"d{k}" for k in range(dims)], *[f"key{k}" for k in range(dims)]), "points")
-    tree = grow_tree(points, dims, leaves)
-    placed = points.select("id", "k1", "k2", "size", "text_crc32", _assign(tree, [f"key{k}" for k in range(dims)]).cast("int").alias("shard")).withColumn("one", F.lit(1).cast("long"))
+    placed = grow_tree(points, dims, leaves).select("id", "k1", "k2", "size", "text_crc32", F.col("first").alias("shard")).withColumn("one", F.lit(1).cast("long"))
     slotted = running_offset(placed, ["shard"], ["id", "k1", "k2"], "one", "slot", ends.n)
     return slotted.select("id", "size", "text_crc32", "shard", "slot")
 
