@@ -22,7 +22,7 @@ SINGLE, SHARED = 1791, 256
 CLASSES = 1 + SINGLE + SHARED
 DIM = 32
 #: Words whose counts every task holds: so many at most, of so many bytes at most. Other words meet their counts in a join.
-LISTED, LISTED_BYTES = 1 << 18, 64
+LISTED, LISTED_BYTES = 1 << 17, 64
 #: Training passes; each takes its own share of the training texts, and all texts are taken once.
 ROUNDS = 2
 BATCH, NOISE, RATE = 8_192, 64, 0.1
@@ -91,11 +91,15 @@ class Parameters:
 
         The sum over the vocabulary of exp(a[w1, w]) * exp(b[w2, w]) is one matrix product for all contexts.
         """
-        a = ((self.context * self.c1).astype(np.float64) @ self.target.T)
-        b = ((self.context * self.c2).astype(np.float64) @ self.target.T) + self.bias
+        a = (self.context * self.c1) @ self.target.T
+        b = (self.context * self.c2) @ self.target.T + self.bias
         ma, mb = a.max(1, keepdims=True), b.max(1, keepdims=True)
-        log_z = np.log(np.exp(a - ma) @ np.exp(b - mb).T) + ma + mb.T
-        return a.astype(np.float32), b.astype(np.float32), log_z.astype(np.float32)
+        right = np.exp(b - mb).T
+        log_z = np.empty_like(a)
+        for at in range(0, CLASSES, 256):
+            part = slice(at, at + 256)
+            log_z[part] = np.log(np.exp(a[part] - ma[part]) @ right) + ma[part] + mb.T
+        return a, b, log_z
 
 
 def noise_of(vocabulary: Vocabulary) -> np.ndarray:
@@ -334,7 +338,7 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         reader, (by1, by2, log_z) = Reader.get(shared), Scorer.get(model)
         v = reader.v
         ends, base_all = np.log10(v.ends + 0.5), np.log10(v.tokens + 0.5 * (v.types + 1))
-        for batch in slices(batches, "text", 4_000_000):
+        for batch in slices(batches, "text", 2_000_000):
             read = [reader.read(t.as_py()) for t in batch.column("text")]
             w, w1, w2, starts = _stream([own for _, own, _ in read])
             p = (by1[w1, w] + by2[w2, w] - log_z[w1, w2]) / np.log(10)
