@@ -56,20 +56,28 @@ def word_count(c: Column | str) -> Column:
 
 
 @functools.lru_cache(maxsize=1)
-def _fold_table() -> tuple[str, str]:
-    """Characters that compatibility decomposition turns into one base character,
-    and after them the combining marks, which have no target and are dropped."""
-    source, target, dropped = [], [], []
-    for point in range(0x80, 0x10000):
+def _fold_table() -> tuple[str, str, str]:
+    """Characters that compatibility decomposition turns into one base character, after them the combining marks,
+    which have no target and are dropped, and a pattern for the characters that it turns into several."""
+    source, target, dropped, ranges = [], [], [], []
+    for point in range(0x80, sys.maxunicode + 1):
         ch = chr(point)
         if unicodedata.combining(ch):
             dropped.append(ch)
             continue
-        base = "".join(x for x in unicodedata.normalize("NFKD", ch) if not unicodedata.combining(x))
-        if len(base) == 1 and base != ch:
+        decomposed = unicodedata.normalize("NFKD", ch)
+        if decomposed == ch:
+            continue
+        base = "".join(x for x in decomposed if not unicodedata.combining(x))
+        if len(base) == 1:
             source.append(ch)
             target.append(base)
-    return "".join(source + dropped), "".join(target)
+        elif ranges and ranges[-1][1] == point - 1:
+            ranges[-1][1] = point
+        else:
+            ranges.append([point, point])
+    several = "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges)
+    return "".join(source + dropped), "".join(target), f"[{several}]"
 
 
 @functools.lru_cache(maxsize=1)
@@ -78,22 +86,25 @@ def _combining_marks() -> dict[int, None]:
 
 
 @F.pandas_udf(StringType())
-def _fold_full(texts: pd.Series) -> pd.Series:
+def _fold_several(texts: pd.Series) -> pd.Series:
     return texts.str.normalize("NFKD").str.translate(_combining_marks())
 
 
-def fold_accents(c: Column | str, full: bool = False) -> Column:
-    """Drop accents. ``full`` also splits ligatures and fractions, in an Arrow batch."""
-    if full:
-        return _fold_full(as_col(c))
-    source, target = _fold_table()
-    return F.translate(as_col(c), source, target)
+def fold_accents(c: Column | str) -> Column:
+    """Decompose all compatibility characters (accents, ligatures, fractions, syllables) and drop the combining marks.
+
+    ``translate`` does it where each character becomes one; only texts with a character that becomes several are
+    sent to an Arrow batch, others travel as nulls.
+    """
+    source, target, several = _fold_table()
+    text = as_col(c)
+    return F.coalesce(_fold_several(F.when(text.rlike(several), text)), F.translate(text, source, target))
 
 
-def tokens(c: Column | str, fold: bool = True, full_fold: bool = False) -> Column:
+def tokens(c: Column | str, fold: bool = True) -> Column:
     text = F.lower(text_or_empty(c))
     if fold:
-        text = fold_accents(text, full=full_fold)
+        text = fold_accents(text)
     return F.regexp_extract_all(text, F.lit(f"({WORD})"), F.lit(1))
 
 

@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 import numpy as np
+import pyarrow as pa
 from pyspark import keyword_only
 from pyspark.ml import Transformer
 from pyspark.ml.feature import OneHotEncoder, StringIndexer
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.linalg import SparseVector, VectorUDT
+from pyspark.ml.linalg import VectorUDT
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol, Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import DataFrame, functions as F
@@ -23,26 +24,27 @@ class TicketTerms(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable,
     low = Param(Params._dummy(), "low", "smallest n-gram", typeConverter=TypeConverters.toInt)
     high = Param(Params._dummy(), "high", "largest n-gram", typeConverter=TypeConverters.toInt)
     foldAccents = Param(Params._dummy(), "foldAccents", "drop accents", typeConverter=TypeConverters.toBoolean)
-    fullFold = Param(Params._dummy(), "fullFold", "also split ligatures", typeConverter=TypeConverters.toBoolean)
 
     @keyword_only
-    def __init__(self, *, inputCol="text_full", outputCol="terms", low=1, high=2, foldAccents=True, fullFold=False):
+    def __init__(self, *, inputCol="text_full", outputCol="terms", low=1, high=2, foldAccents=True):
         super().__init__()
-        self._setDefault(inputCol="text_full", outputCol="terms", low=1, high=2, foldAccents=True, fullFold=False)
+        self._setDefault(inputCol="text_full", outputCol="terms", low=1, high=2, foldAccents=True)
         self._set(**self._input_kwargs)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        words = T.tokens(self.getInputCol(), fold=self.getOrDefault("foldAccents"), full_fold=self.getOrDefault("fullFold"))
+        words = T.tokens(self.getInputCol(), fold=self.getOrDefault("foldAccents"))
         return dataset.withColumn(self.getOutputCol(), T.ngrams(words, self.getOrDefault("low"), self.getOrDefault("high")))
 
 
-@F.udf(VectorUDT())
-def _log_counts(v):
-    return SparseVector(v.size, v.indices, 1.0 + np.log(v.values))
+@F.arrow_udf(VectorUDT())
+def _log_counts(v: pa.Array) -> pa.Array:
+    counts = v.field("values")
+    logs = pa.ListArray.from_arrays(counts.offsets, pa.array(1.0 + np.log(counts.values.to_numpy(zero_copy_only=False))))
+    return pa.StructArray.from_arrays([v.field("type"), v.field("size"), v.field("indices"), logs], ["type", "size", "indices", "values"])
 
 
 class SublinearCounts(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
-    """Sparse term counts c -> 1 + ln c. Spark ML has no elementwise logarithm, so this is a small UDF."""
+    """Sparse term counts c -> 1 + ln c. Spark ML has no elementwise logarithm; one call takes the counts of a whole Arrow batch."""
 
     @keyword_only
     def __init__(self, *, inputCol="counts", outputCol="log_counts"):
@@ -51,7 +53,7 @@ class SublinearCounts(Transformer, HasInputCol, HasOutputCol, DefaultParamsReada
         self._set(**self._input_kwargs)
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        return dataset.withColumn(self.getOutputCol(), _log_counts(F.col(self.getInputCol())))
+        return dataset.withColumn(self.getOutputCol(), _log_counts(F.unwrap_udt(self.getInputCol())))
 
 
 class DropColumns(Transformer, DefaultParamsReadable, DefaultParamsWritable):
@@ -102,9 +104,9 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
     return counts.select(label, "n", (totals / F.col("n")).alias("weight"))
 
 
-def to_dense(df: DataFrame, vector: str, out: str, max_size: int = 4096) -> DataFrame:
-    """Sparse vector -> array, for small vectors only."""
-    attrs = df.select(vector).limit(1).select(F.unwrap_udt(vector).alias("v")).select(F.coalesce("v.size", F.size("v.values")).alias("n")).collect()
-    if attrs and attrs[0]["n"] > max_size:
-        raise ValueError(f"{vector} has {attrs[0]['n']} entries; over {max_size} stays sparse")
-    return df.withColumn(out, vector_to_array(vector))
+def to_dense(df: DataFrame, vector: str, out: str, max_size: int) -> DataFrame:
+    """Sparse vector -> array. A vector with more than ``max_size`` entries fails its task rather than filling its memory."""
+    v = F.unwrap_udt(vector)
+    size = F.coalesce(v["size"], F.size(v["values"]))
+    too_large = F.raise_error(F.format_string(f"{vector} has %d entries; over {max_size} stays sparse", size)).cast("array<double>")
+    return df.withColumn(out, F.when(size > max_size, too_large).otherwise(vector_to_array(vector)))

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import CountVectorizer, ElementwiseProduct, Normalizer
+from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -56,18 +56,19 @@ def terms_stage(config: TfidfConfig, text: str = "text_full", out: str = "terms"
 def term_statistics(df: DataFrame, terms: str = "terms", fold: str | None = None, k: int = 0) -> DataFrame:
     """Documents (``df``) and occurrences (``cf``) per term.
 
-    Each document sends its distinct terms for ``df`` and all of them for ``cf`` through
-    one aggregation that combines before its shuffle. With ``fold`` the counts inside
-    every fold come out of the same pass, as ``df_i`` and ``cf_i``.
+    Terms are sorted inside their document and explode once; a term that differs from the one before
+    counts for ``df``. One aggregation combines before its shuffle. With ``fold`` the counts inside every
+    fold come out of the same pass, as ``df_i`` and ``cf_i``.
     """
     keep = [fold] if fold else []
-    both = df.select(*keep, F.posexplode(F.array(F.col(terms), F.array_distinct(terms))).alias("__distinct", "__terms"))
-    each = both.select(*keep, "__distinct", F.explode("__terms").alias("term"))
-    is_df, is_cf = F.col("__distinct") == 1, F.col("__distinct") == 0
-    aggs = [F.count_if(is_df).alias("df"), F.count_if(is_cf).alias("cf")]
+    in_order = df.select(*keep, F.array_sort(terms).alias("__terms"))
+    before = F.concat(F.array(F.lit(None).cast("string")), "__terms")
+    marked = F.zip_with("__terms", F.slice(before, F.lit(1), F.size("__terms")), lambda t, b: F.struct(t.alias("term"), (~t.eqNullSafe(b)).alias("first")))
+    each = in_order.select(*keep, F.explode(marked).alias("__t")).select(*keep, "__t.term", "__t.first")
+    aggs = [F.count_if("first").alias("df"), F.count("*").alias("cf")]
     for i in range(k):
         here = F.col(fold) == i
-        aggs += [F.count_if(is_df & here).alias(f"df_{i}"), F.count_if(is_cf & here).alias(f"cf_{i}")]
+        aggs += [F.count_if(F.col("first") & here).alias(f"df_{i}"), F.count_if(here).alias(f"cf_{i}")]
     return each.groupBy("term").agg(*aggs)
 
 
@@ -93,21 +94,16 @@ def vocabulary(stats: DataFrame, n_docs: int, config: TfidfConfig, df: Column |
 
 
 def model_from_vocabulary(vocab: DataFrame, config: TfidfConfig, text: str = "text_full", prefix: str = "", terms: str | None = None) -> TfidfModel:
-    """Fitted stages for a vocabulary table; ``terms`` reuses an existing n-gram column."""
-    vocab = settle(vocab)
-    size = vocab.count()
+    """Fitted stages for a vocabulary table, indexed by falling frequency; ``terms`` reuses an existing n-gram column."""
+    rows = sorted(vocab.select("term", "df", "cf", "idf").collect(), key=lambda r: (-r.cf, r.term))  # at most max_features rows
+    size = len(rows)
     if size == 0:
         raise ValueError("empty vocabulary: no term reaches min_df")
     term_col = terms or f"{prefix}terms"
     counts, logs, weighted, out = (f"{prefix}{s}" for s in ("counts", "log_counts", "weighted", "text_vec"))
-    # One row per term makes Spark's own vectorizer adopt exactly this vocabulary.
-    one_each = vocab.withColumn(term_col, F.array("term"))
-    counter = CountVectorizer(inputCol=term_col, outputCol=counts, vocabSize=size, minDF=1.0).fit(one_each)
-    index = F.get(F.unwrap_udt(counts)["indices"], 0)
-    indexed = settle(counter.transform(one_each).select("term", "df", "cf", "idf", index.alias("index")))
-    rows = indexed.select("index", "idf").toPandas()  # at most max_features rows
-    idf = np.zeros(size)
-    idf[rows["index"].to_numpy()] = rows["idf"].to_numpy()
+    counter = CountVectorizerModel.from_vocabulary([r.term for r in rows], inputCol=term_col, outputCol=counts)
+    indexed = vocab.sparkSession.createDataFrame([(*r, i) for i, r in enumerate(rows)], "term string, df long, cf long, idf double, index int")
+    idf = np.array([r.idf for r in rows])
     stages = [] if terms else [terms_stage(config, text, term_col)]
     stages.append(counter)
     if config.sublinear:
@@ -119,14 +115,15 @@ def model_from_vocabulary(vocab: DataFrame, config: TfidfConfig, text: str = "te
     return TfidfModel(config, stages, indexed, size, out)
 
 
-def fit_tfidf(df: DataFrame, config: TfidfConfig, text: str = "text_full", prefix: str = "") -> TfidfModel:
-    stats = term_statistics(terms_stage(config, text).transform(df.select(text)))
-    return model_from_vocabulary(vocabulary(stats, df.count(), config), config, text, prefix)
+def fit_tfidf(df: DataFrame, config: TfidfConfig, text: str = "text_full", prefix: str = "", terms: str | None = None) -> TfidfModel:
+    ready = df.select(F.col(terms).alias("terms")) if terms else terms_stage(config, text).transform(df.select(text))
+    return model_from_vocabulary(vocabulary(term_statistics(ready), df.count(), config), config, text, prefix, terms)
 
 
-def fit_fold_vocabularies(df: DataFrame, config: TfidfConfig, fold: str, k: int, text: str = "text_full") -> list[DataFrame]:
-    """Vocabulary of "all but fold i" for every i, from one pass over the text."""
-    stats = settle(term_statistics(terms_stage(config, text).transform(df.select(text, fold)), fold=fold, k=k))
+def fit_fold_vocabularies(df: DataFrame, config: TfidfConfig, fold: str, k: int, text: str = "text_full", terms: str | None = None) -> list[DataFrame]:
+    """Vocabulary of "all but fold i" for every i, from one pass over the text, or over its n-grams in ``terms``."""
+    ready = df.select(F.col(terms).alias("terms"), fold) if terms else terms_stage(config, text).transform(df.select(text, fold))
+    stats = settle(term_statistics(ready, fold=fold, k=k))
     sizes = {r[fold]: r["n"] for r in df.groupBy(fold).agg(F.count("*").alias("n")).collect()}  # k rows
     n = sum(sizes.values())
     return [
@@ -145,7 +142,4 @@ def vector_entries(df: DataFrame, ids: Sequence[str], vector: str) -> DataFrame:
 def tfidf_weights(model: TfidfModel, df: DataFrame, id_col: str = "ID") -> DataFrame:
     """(id, term, weight), for reading and checking; unknown terms are absent."""
     entries = vector_entries(model.transform(df), [id_col], model.output)
-    names = model.vocab.select("index", "term")
-    if model.config.max_features <= 200_000:
-        names = F.broadcast(names)
-    return entries.join(names, "index").select(id_col, "term", "weight")
+    return entries.join(model.vocab.select("index", "term"), "index").select(id_col, "term", "weight")

@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ..functions.draws import draw_key, draw_long
 from ..functions.text import WHITESPACE_SET
 from ..operators import prepare as P
-from ..session import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,14 +31,18 @@ def ticket_columns(documents: DataFrame) -> DataFrame:
     )
 
 
-def raw_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_tickets(spark: SparkSession, sf_dir: str, typed: bool = True) -> DataFrame:
+    """Tickets from documents; ``typed`` joins the labels on for ``type_ticket``, which is null otherwise."""
+    rows = ticket_columns(table(spark, sf_dir, "documents"))
+    if not typed:
+        return rows.drop("doc_id").withColumn("type_ticket", F.lit(None).cast("string"))
     labels = table(spark, sf_dir, "labels").select("doc_id", F.when(F.col("quality") == 1, "Demande").when(F.col("quality") == 0, "Incident").alias("type_ticket"))
-    return ticket_columns(spread(table(spark, sf_dir, "documents"))).join(labels, "doc_id", "left").drop("doc_id")
+    return rows.join(labels, "doc_id", "left").drop("doc_id")
 
 
-def tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
+def tickets(spark: SparkSession, sf_dir: str, typed: bool = True) -> DataFrame:
     """Cleaned tickets: the nine balanced-table columns."""
-    return P.select_columns(P.add_word_count(P.clean_tickets(raw_tickets(spark, sf_dir))))
+    return P.select_columns(P.add_word_count(P.clean_tickets(raw_tickets(spark, sf_dir, typed))))
 
 
 def percent_draw(salt: str, key: str = "ID"):
@@ -50,7 +53,7 @@ def percent_draw(salt: str, key: str = "ID"):
 def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tickets with repeatable imperfect predictions and a split, for the evaluation operators."""
     u, s = percent_draw("pred"), percent_draw("part")
-    return tickets(spark, sf_dir).select(
+    return tickets(spark, sf_dir, typed=False).select(
         "ID", "urgence", "categorie", "temps_resolution",
         F.when(u < 10, "Basse").when(u < 15, "Haute").otherwise(F.col("urgence")).alias("urgence_pred"),
         (F.col("temps_resolution") * (F.lit(0.8) + u.cast("double") / 250)).alias("temps_resolution_pred"),

@@ -34,12 +34,12 @@ def ticket_clean(spark, sf):
 
 @query(f"""WITH {SQL_TICKETS} SELECT "ID", text_full, nb_mots FROM tickets""")
 def ticket_features(spark, sf):
-    return tickets(spark, sf).select("ID", "text_full", "nb_mots")
+    return tickets(spark, sf, typed=False).select("ID", "text_full", "nb_mots")
 
 
 @query(f"""WITH {SQL_RAW} SELECT count(*) FILTER (WHERE urgence = 'Très haute') AS n_replaced, count(*) AS n_rows FROM raw_tickets""")
 def urgency_normalization(spark, sf):
-    return P.normalization_count(raw_tickets(spark, sf))
+    return P.normalization_count(raw_tickets(spark, sf, typed=False))
 
 
 _SHORT = f"""SELECT conv_id, turn, {sql_strip("' ' || coalesce(text, '')")} AS text_full FROM conversations"""
@@ -61,7 +61,7 @@ def duplicate_keys(spark, sf):
 
 @query(f"WITH {SQL_RAW} SELECT urgence, count(*) AS n FROM raw_tickets WHERE urgence IS NULL OR urgence NOT IN ('Basse', 'Moyenne', 'Haute') GROUP BY 1")
 def domain_violations(spark, sf):
-    return Q.domain_violations(raw_tickets(spark, sf))
+    return Q.domain_violations(raw_tickets(spark, sf, typed=False))
 
 
 @query("""SELECT doc_id, count(*) AS n FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id) GROUP BY 1""")
@@ -104,7 +104,7 @@ def class_distribution(spark, sf):
 @query(f"""WITH {SQL_TICKETS}, c AS ({_sql_counts('tickets', 'urgence')})
   SELECT urgence, n, pct, CASE urgence WHEN 'Basse' THEN 1 WHEN 'Moyenne' THEN 2 ELSE 3 END AS rank, repeat('█', floor(pct / 2)::bigint) AS bar FROM c""")
 def class_distribution_norm(spark, sf):
-    return D.value_counts_in_order(tickets(spark, sf)).select("urgence", "n", *r6("pct"), "rank", "bar")
+    return D.value_counts_in_order(tickets(spark, sf, typed=False)).select("urgence", "n", *r6("pct"), "rank", "bar")
 
 
 @query(f"""WITH {SQL_BALANCED} SELECT 'before' AS phase, * FROM ({_sql_counts('tickets', 'urgence')})

@@ -84,13 +84,13 @@ def one_hot(spark, sf):
 @query(f"""WITH {SQL_TICKETS}, c AS (SELECT urgence, count(*) AS n FROM tickets GROUP BY 1)
   SELECT urgence, n, round(sum(n) OVER () / (count(*) OVER () * n)::double, 6) AS weight FROM c""")
 def class_weights(spark, sf):
-    return X.class_weights(tickets(spark, sf), "urgence").select("urgence", "n", *r6("weight"))
+    return X.class_weights(tickets(spark, sf, typed=False), "urgence").select("urgence", "n", *r6("weight"))
 
 
 @query(f"""WITH {SQL_TICKETS}, s AS (SELECT avg(nb_mots) AS m, stddev_pop(nb_mots) AS d FROM tickets)
   SELECT "ID", nb_mots, round((nb_mots - m) / d, 6) AS nb_mots_scaled FROM tickets, s""")
 def standardize(spark, sf):
-    return X.standardize(tickets(spark, sf), ["nb_mots"]).select("ID", "nb_mots", *r6("nb_mots_scaled"))
+    return X.standardize(tickets(spark, sf, typed=False), ["nb_mots"]).select("ID", "nb_mots", *r6("nb_mots_scaled"))
 
 
 # --- TF-IDF --------------------------------------------------------------------------------------
@@ -99,19 +99,19 @@ _MODEL_TF = f"WITH {SQL_TICKETS}, {sql_terms('tickets', '\"ID\"', 'text_full', T
 
 
 def model_text(spark, sf):
-    return built_once(spark, sf, "model_text", lambda: W.fit_tfidf(tickets(spark, sf), W.MODEL_TFIDF))
+    return built_once(spark, sf, "model_text", lambda: W.fit_tfidf(tickets(spark, sf, typed=False), W.MODEL_TFIDF))
 
 
 @query(f"{_MODEL_TF} SELECT term, df, cf, round(idf, 6) AS idf FROM vocab")
 def tfidf_vocab(spark, sf):
-    t = tickets(spark, sf)
+    t = tickets(spark, sf, typed=False)
     stats = W.term_statistics(W.terms_stage(W.MODEL_TFIDF).transform(t.select("text_full")))
-    return W.vocabulary(stats, t.count(), W.MODEL_TFIDF).select("term", "df", "cf", *r6("idf"))
+    return W.vocabulary(stats, table(spark, sf, "documents").count(), W.MODEL_TFIDF).select("term", "df", "cf", *r6("idf"))
 
 
 @query(f"{_MODEL_TF}, {sql_weights('tf', 'weights', True)} SELECT id AS \"ID\", term, round(w, 6) AS weight FROM weights")
 def tfidf_weights(spark, sf):
-    return W.tfidf_weights(model_text(spark, sf), tickets(spark, sf)).select("ID", "term", *r6("weight"))
+    return W.tfidf_weights(model_text(spark, sf), tickets(spark, sf, typed=False)).select("ID", "term", *r6("weight"))
 
 
 @query(f"""{_MODEL_TF} SELECT 'text' AS block, (SELECT count(*) FROM vocab) AS size UNION ALL SELECT 'numeric', 1 UNION ALL

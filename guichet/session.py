@@ -45,9 +45,29 @@ def shared_dir(spark: SparkSession) -> str:
     return spark.sparkContext.getCheckpointDir()
 
 
+_written: dict[str, set[str]] = {}
+
+
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path under the shared folder that nothing else uses."""
-    return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    path = os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
+    _written.setdefault(spark.sparkContext.applicationId, set()).add(path)
+    return path
+
+
+def written(spark: SparkSession) -> set[str]:
+    """The paths this application was given so far and has not deleted."""
+    return set(_written.get(spark.sparkContext.applicationId, ()))
+
+
+def forget(spark: SparkSession, paths: set[str] | None = None) -> None:
+    """Delete tables made on the way, by default all: for when the results that read them are stored or no longer needed."""
+    gone = written(spark) if paths is None else paths
+    jvm, hadoop = spark._jvm, spark._jsc.hadoopConfiguration()
+    for path in gone:
+        place = jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(hadoop).delete(place, True)
+    _written.get(spark.sparkContext.applicationId, set()).difference_update(gone)
 
 
 def settle(df: DataFrame, name: str = "settled") -> DataFrame:
@@ -61,15 +81,6 @@ def settle(df: DataFrame, name: str = "settled") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Use every core on a table stored in fewer pieces than there are cores.
-
-    ``scan`` must be a plain read. A large table already has more pieces and is left alone.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 _shipped: set[str] = set()
 
 

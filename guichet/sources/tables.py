@@ -13,9 +13,17 @@ from ..schema import BALANCED_SCHEMA, DOCUMENT_SCHEMA, SPLIT_LABELS, STAGE_COLUM
 CSV_FORMAT = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
-def read_tickets_csv(spark: SparkSession, path: str, schema: str = TICKET_SCHEMA) -> DataFrame:
-    """Ticket CSV with quoted line breaks; the header must match the schema."""
-    return spark.read.schema(schema).options(**CSV_FORMAT, multiLine=True, enforceSchema=False).csv(path)
+def read_tickets_csv(spark: SparkSession, path: str, schema: str = TICKET_SCHEMA, multi_line: bool = True, malformed: str | None = None) -> DataFrame:
+    """Ticket CSV whose header matches the schema.
+
+    A row with too few or too many fields, or a value of the wrong type, fails the read. With ``malformed`` such rows
+    are kept instead and carry their text in a column of that name, null for good rows. Quoted line breaks need
+    ``multi_line``, which reads each file in one task; files without them can be split when it is off.
+    """
+    reader = spark.read.options(**CSV_FORMAT, multiLine=multi_line, enforceSchema=malformed is not None)
+    if malformed is None:
+        return reader.schema(schema).option("mode", "FAILFAST").csv(path)
+    return reader.schema(f"{schema}, `{malformed}` string").options(mode="PERMISSIVE", columnNameOfCorruptRecord=malformed).csv(path)
 
 
 def read_split_csvs(spark: SparkSession, paths: Mapping[str, str], schema: str = BALANCED_SCHEMA) -> DataFrame:

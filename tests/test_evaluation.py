@@ -59,6 +59,6 @@ def test_feature_helpers(spark):
     unseen = spark.createDataFrame([("b",), ("zz",), (None,)], "c string")
     for stage in stages:
         unseen = stage.transform(unseen)
-    assert [r.d for r in X.to_dense(unseen, hot[0], "d").collect()] == [[0.0, 1.0], [0.0, 0.0], [0.0, 0.0]]
-    with pytest.raises(ValueError):
-        X.to_dense(unseen, hot[0], "d", max_size=1)
+    assert [r.d for r in X.to_dense(unseen, hot[0], "d", max_size=2).collect()] == [[0.0, 1.0], [0.0, 0.0], [0.0, 0.0]]
+    with pytest.raises(Exception, match="over 1 stays sparse"):
+        X.to_dense(unseen, hot[0], "d", max_size=1).collect()

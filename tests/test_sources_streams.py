@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from guichet import session
-from guichet.sources import runlog, tables
+from guichet.sources import models_dir, runlog, tables
 from guichet.streaming import monitor
 
 
@@ -79,10 +79,34 @@ def test_monitor_drops_late_rows_and_matches_batch(spark, tmp_path):
     assert share[0, "Basse"] == 66.67 and share[3, "Haute"] == 50.0
 
 
-def test_shared_dir_and_spread(spark):
+def test_settled_tables_are_deleted_when_asked(spark, tmp_path):
     assert session.shared_dir(spark)
     assert session.fresh_path(spark, "x") != session.fresh_path(spark, "x")
-    wide = spark.range(0, 100, 1, 40)
-    assert session.spread(wide).rdd.getNumPartitions() == 40
-    assert session.spread(spark.range(0, 100, 1, 2)).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert session.settle(wide.withColumn("y", F.col("id") * 2)).count() == 100
+    before = session.written(spark)
+    kept = session.settle(spark.range(100).withColumn("y", F.col("id") * 2))
+    assert kept.count() == 100
+    path = (session.written(spark) - before).pop()
+    session.forget(spark, {path})
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(path)
+    assert session.written(spark) == before
+
+
+@pytest.mark.parametrize("line", ["1,only,three", "2,a,b,c,Haute,douze,Demande,3,t", "3,a,b,c,Haute,1.5,Demande,3,t,one more"])
+def test_malformed_csv_rows_fail_or_are_routed(spark, tmp_path, line):
+    path = str(tmp_path / "bad.csv")
+    names = [f.split()[0] for f in tables.BALANCED_SCHEMA.split(", ")]
+    good = "9,x,y,z,Basse,2.0,Demande,1,u"
+    (tmp_path / "bad.csv").write_text(",".join(names) + "\n" + good + "\n" + line + "\n")
+    with pytest.raises(Exception, match="MALFORMED|FAILED_READ"):
+        tables.read_tickets_csv(spark, path, tables.BALANCED_SCHEMA).collect()
+    for multi_line in (True, False):
+        rows = tables.read_tickets_csv(spark, path, tables.BALANCED_SCHEMA, multi_line=multi_line, malformed="bad").collect()
+        assert [r.bad for r in rows] == [None, line]
+
+
+def test_only_a_missing_path_means_no_model(spark, tmp_path):
+    with pytest.raises(FileNotFoundError, match="urgency"):
+        models_dir.check_model_exists(spark, "urgency", str(tmp_path))
+    with pytest.raises(Exception, match="(?i)scheme|filesystem"):
+        models_dir.check_model_exists(spark, "urgency", "nosuchscheme://place")

@@ -45,12 +45,18 @@ def test_tokens(spark):
     texts = [s for s in SAMPLES if s]
     plain = column(spark, texts, T.tokens("t", fold=False))
     assert plain == [re.findall(r"\b\w\w+\b", s.lower()) for s in texts]
-    full = column(spark, texts, T.tokens("t", full_fold=True))
+    full = column(spark, texts, T.tokens("t"))
     assert full == [re.findall(r"\b\w\w+\b", fold(s.lower())) for s in texts]
 
 
-def test_fold_accents_without_python_agrees_on_single_characters(spark):
-    texts = ["Été À Ç naïve", "été", "йод ΆΈ", "ａｂ"]
+def test_fold_accents_is_full_decomposition(spark):
+    texts = ["Été À Ç naïve", "e\u0301te\u0301", "йод ΆΈ", "ａｂ", "ﬁn ½ ǆ ﷺ", "한국어 각", "𝐀𝟙 𑂚", "", "plain", "ⅷ №"]
+    assert column(spark, texts, T.fold_accents("t")) == [fold(s) for s in texts]
+    assert spark.createDataFrame([(None,)], "t string").select(T.fold_accents("t")).first()[0] is None
+
+
+def test_fold_accents_over_all_of_unicode(spark):
+    texts = ["".join(chr(p) for p in range(start, start + 256) if not 0xD800 <= p < 0xE000 and p) for start in range(0, 0x30000, 256)]
     assert column(spark, texts, T.fold_accents("t")) == [fold(s) for s in texts]
 
 

@@ -66,17 +66,15 @@ def test_fold_vocabularies_equal_separate_fits(spark):
 
 def test_search_finds_the_right_note(spark, corpus):
     index = stores.build_tfidf_index(corpus, replace(W.INDEX_TFIDF, fold_accents=True), "text")
-    asked = spark.createDataFrame([
-        ("q1", "Comment résoudre un problème de connexion Maroc Telecom?"), ("q2", "Comment réinitialiser mon mot de passe?"),
-        ("q3", "Mon VPN ne fonctionne pas, que faire?"), ("q4", "L'imprimante ne marche plus, comment faire?"),
-        ("q5", "Internet Inwi est très lent, quelle solution?"), ("q6", "zzz qqq")], "query_id string, text string")
+    wanted = {"a": ("huile de chaîne", "chaine"), "b": ("à quelle hauteur la selle", "selle"), "c": ("farine pour levain", "levain"), "d": ("buee du four", "four"), "e": ("pousser la pâte", "petrir")}
+    asked = spark.createDataFrame([*((q, text) for q, (text, _) in wanted.items()), ("none", "zzz qqq")], "query_id string, text string")
     hits = R.tfidf_search(asked, index.model, index.vectors, 3).collect()
     first = {r.query_id: r.id for r in hits if r["rank"] == 1}
-    assert first == {"q1": "doc1", "q2": "doc2", "q3": "doc3", "q4": "doc4", "q5": "doc5", "q6": "doc1"}
-    assert Counter(r.query_id for r in hits) == {f"q{i}": 3 for i in range(1, 7)}
-    assert [(r.id, r.similarity) for r in hits if r.query_id == "q6"] == [("doc1", 0.0), ("doc2", 0.0), ("doc3", 0.0)]
+    assert first == {q: note for q, (_, note) in wanted.items()} | {"none": "chaine"}
+    assert Counter(r.query_id for r in hits) == dict.fromkeys([*wanted, "none"], 3)
+    assert [(r.id, r.similarity) for r in hits if r.query_id == "none"] == [("chaine", 0.0), ("four", 0.0), ("levain", 0.0)]
     only = R.tfidf_search(asked, index.model, index.vectors, 3, fill_zero=False)
-    assert only.filter("query_id = 'q6'").count() == 0 and only.filter("similarity <= 0").count() == 0
+    assert only.filter("query_id = 'none'").count() == 0 and only.filter("similarity <= 0").count() == 0
 
 
 @pytest.mark.parametrize("fill_zero", [True, False])
@@ -131,7 +129,7 @@ def test_index_survives_storage(spark, corpus, tmp_path):
     stores.save_tfidf_index(index, path)
     stores.save_tfidf_index(index, path)  # a rebuild replaces the old tables
     loaded = stores.load_tfidf_index(spark, path)
-    asked = spark.createDataFrame([("q", "connexion vpn")], "query_id string, text string")
+    asked = spark.createDataFrame([("q", "levain four")], "query_id string, text string")
     a = R.tfidf_search(asked, index.model, index.vectors, 6).orderBy("rank").collect()
     assert a == R.tfidf_search(asked, loaded.model, loaded.vectors, 6).orderBy("rank").collect()
     assert loaded.chunks.count() == 6 and loaded.model.vocab.count() == index.model.size
@@ -149,7 +147,7 @@ def test_embedding_hook_and_dense_store(spark, corpus, tmp_path):
     store = stores.load_dense_index(spark, path, "letters")
     asked = stores.embed(corpus.select(F.col("id").alias("query_id"), "text"), letters)
     best = R.dense_search(asked, store, 1).collect()
-    assert {(r.query_id, r.id) for r in best} == {(f"doc{i}", f"doc{i}") for i in range(1, 7)}
+    assert {(r.query_id, r.id) for r in best} == {(r.id, r.id) for r in corpus.collect()}
     with pytest.raises(ValueError, match="letters"):
         stores.load_dense_index(spark, path, "other")
 
