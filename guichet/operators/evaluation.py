@@ -56,7 +56,7 @@ def accuracy_f1(df: DataFrame, actual: str, predicted: str, by: Sequence[str] =
 
 
 def class_report(df: DataFrame, actual: str, predicted: str) -> DataFrame:
-    """Per-class scores followed by the macro and support-weighted averages."""
+    """Per-class scores followed by the accuracy, which stands in every score column, and the macro and support-weighted averages."""
     scores = class_scores(df, actual, predicted)
     cols = ["label", "precision", "recall", "f1", "support"]
     macro = scores.agg(*[F.avg(c).alias(c) for c in cols[1:4]], F.sum("support").alias("support"))
@@ -64,8 +64,11 @@ def class_report(df: DataFrame, actual: str, predicted: str) -> DataFrame:
         *[(F.sum(F.col(c) * F.col("support")) / F.sum("support")).alias(c) for c in cols[1:4]],
         F.sum("support").alias("support"),
     )
+    hits = F.sum("tp") / F.sum("support")
+    accuracy = scores.agg(*[hits.alias(c) for c in cols[1:4]], F.sum("support").alias("support"))
     return (
         scores.select(*cols)
+        .unionByName(accuracy.select(F.lit("accuracy").alias("label"), *cols[1:]))
         .unionByName(macro.select(F.lit("macro avg").alias("label"), *cols[1:]))
         .unionByName(weighted.select(F.lit("weighted avg").alias("label"), *cols[1:]))
     )

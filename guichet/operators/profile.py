@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions import text as T
 from ..schema import URGENCY_LABELS
@@ -53,31 +53,39 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
 def numeric_profile(df: DataFrame, column: str, approximate: bool = False) -> DataFrame:
     """min, max, mean, median and sample standard deviation of a target column."""
     c = F.col(column)
-    median = F.percentile_approx(c, 0.5, 100_000) if approximate else exact_median(df, column)
     aggs = [F.count(c).alias("n"), F.min(c).alias("min"), F.max(c).alias("max"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("std")]
     if approximate:
-        return df.agg(*aggs, median.cast("double").alias("median"))
-    return df.agg(*aggs).withColumn("median", median.scalar())
+        return df.agg(*aggs, F.percentile_approx(c, 0.5, 100_000).cast("double").alias("median"))
+    return df.agg(*aggs).withColumn("median", F.lit(exact_median(df, column)).cast("double"))
 
 
-def exact_median(df: DataFrame, column: str, accuracy: int = 100_000) -> DataFrame:
-    """One row with the exact median.
+def exact_median(df: DataFrame, column: str, accuracy: int = 10_000, most: int = 10_000) -> float | None:
+    """The exact median; null and NaN values are left out, and no values give None.
 
-    A quantile sketch, whose rank error is known, brackets the middle. Everything outside the
-    bracket is only counted; inside it equal values are counted once and the few that are left
-    are put in order. No value range, however crowded, is sorted in one place.
+    Each pass brackets the middle with a quantile sketch over the values still in question and counts what lies
+    below. It ends when at most ``most`` distinct values are left; only those are put in order. A bracket that has
+    lost the middle, which the sketch's error bound excludes, raises.
     """
-    values = df.select(F.col(column).cast("double").alias("v")).filter("v IS NOT NULL")
-    band = 4.0 / accuracy
-    bracket = values.agg(F.percentile_approx("v", F.array(F.lit(0.5 - band), F.lit(0.5 + band)), accuracy)).scalar()
-    side = F.when(F.col("v") < F.get(bracket, F.lit(0)), -1).when(F.col("v") > F.get(bracket, F.lit(1)), 1).otherwise(0)
-    counts = values.select("v", side.alias("side")).groupBy("side", F.when(F.col("side") == 0, F.col("v")).alias("v")).agg(F.count("*").alias("n"))
-    upto = F.sum("n").over(Window.orderBy("side", "v").rowsBetween(Window.unboundedPreceding, 0))
-    total = F.sum("n").over(Window.partitionBy())
-    placed = counts.select("v", "n", upto.alias("hi"), total.alias("total"))
-    middle = F.array(F.floor((F.col("total") + 1) / 2), F.floor(F.col("total") / 2) + 1)
-    hits = F.size(F.filter(middle, lambda r: (r > F.col("hi") - F.col("n")) & (r <= F.col("hi"))))
-    return placed.select("v", hits.alias("k")).filter("k > 0").agg((F.sum(F.col("v") * F.col("k")) / F.sum("k")).alias("median"))
+    values = df.select(F.col(column).cast("double").alias("v")).filter("v IS NOT NULL AND NOT isnan(v)")
+    total = values.count()
+    if not total:
+        return None
+    ranks = ((total + 1) // 2, total // 2 + 1)
+    below, inside, here = 0, total, values
+    while here.select("v").distinct().limit(most + 1).count() > most:
+        middle = [(r - below) / inside for r in ranks]
+        band = 4.0 / accuracy
+        low, high = here.agg(F.percentile_approx("v", F.array(F.lit(max(0.0, middle[0] - band)), F.lit(min(1.0, middle[1] + band))), accuracy)).first()[0]
+        under, here = F.count_if(F.col("v") < low), here.filter(F.col("v").between(low, high))
+        below, inside = values.agg(under).first()[0], here.count()
+        if not below < ranks[0] <= ranks[1] <= below + inside:
+            raise ArithmeticError(f"the sketch of {column} missed the middle")
+    counts = sorted((r.v, r.n) for r in here.groupBy("v").agg(F.count("*").alias("n")).collect())
+    found = []
+    for v, n in counts:
+        found += [v] * sum(below < r <= below + n for r in ranks)
+        below += n
+    return sum(found) / 2
 
 
 def prediction_profile(df: DataFrame, column: str) -> DataFrame:

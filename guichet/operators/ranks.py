@@ -7,24 +7,14 @@ the buckets before it are added. The ranks are the same.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import functools
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.draws import draw_bucket
 from ..session import settle
 
-MAX_CLASSES = 10_000  # a label column; more distinct values than this is a key, not a label
-
-
-def class_sizes(df: DataFrame, class_col: str) -> dict[str, int]:
-    """Row count per class on the driver; refuses columns that are not labels."""
-    rows = df.groupBy(class_col).agg(F.count("*").alias("n")).orderBy(class_col).limit(MAX_CLASSES + 1).collect()
-    if len(rows) > MAX_CLASSES:
-        raise ValueError(f"{class_col} has more than {MAX_CLASSES} distinct values")
-    return {r[class_col]: r["n"] for r in rows if r[class_col] is not None}
-
-
 def bucketed_rank(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str], bucket: Column, out: str = "rank") -> DataFrame:
     """1-based rank of each row within ``keys``.
 
@@ -39,7 +29,10 @@ def bucketed_rank(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column
         .withColumn("__offset", F.coalesce(F.sum("__n").over(before), F.lit(0))).drop("__n")
     )
     local = tagged.withColumn("__local", F.row_number().over(Window.partitionBy(*slot).orderBy(*order_by)))
-    return local.join(offsets, slot).withColumn(out, F.col("__offset") + F.col("__local")).drop("__bucket", "__offset", "__local")
+    named = offsets.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(slot)], "__offset")
+    same = [F.col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate(slot)]  # a null key is a key
+    joined = local.join(named, functools.reduce(lambda a, b: a & b, same))
+    return joined.withColumn(out, F.col("__offset") + F.col("__local")).drop("__bucket", "__offset", "__local", *[f"__k{i}" for i in range(len(slot))])
 
 
 def sorted_rank(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], out: str = "rank") -> DataFrame:
@@ -56,37 +49,37 @@ def sorted_rank(df: DataFrame, keys: Sequence[str], order_by: Sequence[str], out
     return bucketed_rank(settle(pieces, "ranges"), keys, [*order_by, "__tie"], F.col("__piece"), out).drop("__tie", "__piece")
 
 
-def cut_values(df: DataFrame, class_col: str, draw: str, cuts: Mapping[str, Sequence[int]]) -> DataFrame:
-    """Per class, the draw value of the r-th smallest row for every r in ``cuts``.
+def cut_values(df: DataFrame, class_col: str, draw: str, wanted: DataFrame) -> DataFrame:
+    """Per class, the draw values of the rows that ``wanted`` (class, __cut, __rank) names, in the order of __cut.
 
-    ``cuts`` gives non-decreasing ranks; rank 0 yields ''. Draws must be unique hex
-    digests. Only the buckets that hold a cut are sorted, so the rows never travel.
+    A rank counts from the smallest draw; rank 0 yields ''. Draws must be unique hex digests, up to ties that may
+    stay together. Only the buckets that hold a cut are sorted, so the rows never travel. Joins are left to the
+    planner: with few classes it sends the cuts to the rows.
     """
-    spark = df.sparkSession
-    wanted = spark.createDataFrame(
-        [(c, i, int(r)) for c, ranks in cuts.items() for i, r in enumerate(ranks)], "__class string, __cut int, __rank long")
+    wanted = wanted.withColumnRenamed(class_col, "__class")
     narrow = df.select(F.col(class_col).alias("__class"), F.col(draw).alias("__draw")).withColumn("__bucket", draw_bucket(F.col("__draw")))
     upto = Window.partitionBy("__class").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, 0)
     spans = narrow.groupBy("__class", "__bucket").agg(F.count("*").alias("__n")).withColumn("__hi", F.sum("__n").over(upto))
-    # at most classes x cuts rows, both bounded by class_sizes and the caller's labels
-    holding = (
-        spans.join(F.broadcast(wanted), "__class")
+    holding = settle(
+        spans.join(wanted, "__class")
         .filter((F.col("__rank") <= F.col("__hi")) & (F.col("__rank") > F.col("__hi") - F.col("__n")))
-        .select("__class", "__bucket", "__cut", (F.col("__rank") - F.col("__hi") + F.col("__n")).alias("__k"))
-    )
-    inside = narrow.join(F.broadcast(holding), ["__class", "__bucket"])
+        .select("__class", "__bucket", "__cut", (F.col("__rank") - F.col("__hi") + F.col("__n")).alias("__k")), "holding")
+    inside = narrow.join(holding, ["__class", "__bucket"])
     place = F.row_number().over(Window.partitionBy("__class", "__cut").orderBy("__draw"))
     found = inside.withColumn("__place", place).filter(F.col("__place") == F.col("__k")).select("__class", "__cut", "__draw")
     return (
-        wanted.join(F.broadcast(found), ["__class", "__cut"], "left")
+        wanted.join(found, ["__class", "__cut"], "left")
         .groupBy(F.col("__class").alias(class_col))
         .agg(F.transform(F.sort_array(F.collect_list(F.struct("__cut", F.coalesce("__draw", F.lit("")).alias("d")))), lambda s: s["d"]).alias("__cuts"))
     )
 
 
 def label_by_cuts(df: DataFrame, class_col: str, draw: str, cuts: DataFrame, labels: Sequence[str], out: str) -> DataFrame:
-    """The label of the quota each row falls in: a comparison per row against its class's cut values."""
+    """The label of the quota each row falls in: a comparison per row against its class's cut values.
+
+    The cuts are stored first, so their size is known when the join is planned.
+    """
     names = F.array(*[F.lit(v) for v in labels])
-    joined = df.join(F.broadcast(cuts), class_col)
+    joined = df.join(settle(cuts, "cuts"), class_col)
     passed = F.size(F.filter("__cuts", lambda c: F.col(draw) > c))
     return joined.withColumn(out, F.get(names, passed)).drop("__cuts")

@@ -3,23 +3,18 @@
 from __future__ import annotations
 
 import os
-from dataclasses import replace
 
 from pyspark.sql import functions as F
 
 from ..operators import cascade as C, evaluation as E, sampling as S, tfidf as W
-from ..session import fresh_path
+from ..schema import URGENCY_LABELS
+from ..session import fresh_path, settle
 from ..sources import models_dir, runlog, tables
 from ..streaming import monitor, scoring
 from .registry import built_once, query
-from .standin import SQL_TICKETS, table, ticket_columns, tickets
+from .standin import SQL_BALANCED, SQL_TICKETS, sql_split, sql_terms, sql_vocab, table, ticket_columns, tickets
 from .tabular import balanced, r6
 
-# The registered training run: about as many terms as a ticket corpus of this size has, one
-# text block for classifiers and trees, and a bounded number of solver steps. The library
-# defaults are 50,000 terms and 2,000 steps.
-TRAINING_TFIDF = replace(W.MODEL_TFIDF, max_features=1_000)
-TRAINING_STEPS = 200
 PARALLEL_FOLDS = 5
 
 
@@ -50,68 +45,112 @@ def metadata_upsert(spark, sf):
 
 # --- trained models ------------------------------------------------------------------------------
 
+# Training itself has no SQL. What it must keep has: the rows of each split, whole predictions, block sizes, and scores
+# that beat what the labels alone would give.
+
 def trained(spark, sf) -> C.CascadeRun:
-    """The cascade on balanced tickets, split by origin so copies of a ticket stay together."""
+    """The cascade at the models' own settings on balanced tickets, split by origin so copies of a ticket stay together."""
 
     def build():
         parts = S.stratified_split(balanced(spark, sf), group_col="origin")
-        return C.train_cascade(parts, TRAINING_TFIDF, group_col="origin", parallelism=PARALLEL_FOLDS, max_iter=TRAINING_STEPS)
+        return C.train_cascade(parts, W.MODEL_TFIDF, group_col="origin", parallelism=PARALLEL_FOLDS)
 
     return built_once(spark, sf, "cascade", build)
 
 
+_ORIGIN_SPLIT = f"""WITH {SQL_BALANCED}, origins AS (SELECT DISTINCT origin, urgence FROM balanced), {sql_split('origins', key='origin')},
+  parts AS (SELECT b.*, s.split FROM balanced b JOIN split_rows s ON b.origin = s.origin)"""
+
+
+def _sql_rows(target: str) -> str:
+    return f"{_ORIGIN_SPLIT} SELECT split, count(*) AS n, true AS beats_chance FROM parts WHERE {target} IS NOT NULL GROUP BY 1"
+
+
 def _scores(df, target, prediction):
-    return E.accuracy_f1(df.filter(F.col(target).isNotNull()), target, prediction, ["split"]).select("split", *r6("accuracy", "f1_macro"), "n")
+    """Rows per split, and whether accuracy is above the share that guessing by label frequency gets."""
+    labelled = df.filter(F.col(target).isNotNull())
+    share = labelled.groupBy("split", target).agg(F.count("*").alias("k")).groupBy("split").agg((F.sum(F.col("k") * F.col("k")) / F.sum("k") / F.sum("k")).alias("chance"))
+    found = E.accuracy_f1(labelled, target, prediction, ["split"]).join(share, "split")
+    return found.select("split", "n", (F.col("accuracy") > F.col("chance")).alias("beats_chance"))
 
 
-@query()
+@query(_sql_rows("urgence"))
 def train_urgency(spark, sf):
     return _scores(trained(spark, sf).scored, "urgence", "urgence_pred")
 
 
-@query()
+@query(_sql_rows("categorie"))
 def train_category(spark, sf):
     return _scores(trained(spark, sf).scored, "categorie", "categorie_pred")
 
 
-@query()
+@query(_sql_rows("type_ticket"))
 def train_type(spark, sf):
     return _scores(trained(spark, sf).scored, "type_ticket", "type_ticket_pred")
 
 
-@query()
+@query(_sql_rows("temps_resolution"))
 def train_time(spark, sf):
-    return E.regression_metrics(trained(spark, sf).scored, "temps_resolution", "temps_resolution_pred", ["split"])
+    """Rows per split, and whether errors are smaller than those of the mean (R2 above 0)."""
+    found = E.regression_metrics(trained(spark, sf).scored, "temps_resolution", "temps_resolution_pred", ["split"])
+    return found.select("split", "n", (F.col("r2") > 0).alias("beats_chance"))
 
 
-@query()
+@query(f"""{_ORIGIN_SPLIT}, train AS (SELECT * FROM parts WHERE split = 'train'), {sql_terms('train', '"ID"', 'text_full', True)}, {sql_vocab('train', 2, 50_000)}
+  SELECT m.model, (SELECT count(*) FROM vocab) AS text, 1::bigint AS numeric, true AS one_hot_fits, true AS adds_up, (SELECT count(*) FROM train) AS train_rows
+  FROM (VALUES ('urgency'), ('category'), ('type'), ('time')) m(model)""")
 def feature_vectors(spark, sf):
-    blocks = trained(spark, sf).cascade.feature_blocks
-    rows = spark.createDataFrame([(m, b, n) for m, sizes in blocks.items() for b, n in sizes.items()], "model string, block string, size long")
-    used = trained(spark, sf).scored.filter("split = 'train'").agg(F.count("*").alias("train_rows"))
-    return rows.withColumn("train_rows", used.scalar())
-
-
-@query()
+    """Block sizes of each model, beside the labels that its upstream predictions can have."""
+    run = trained(spark, sf)
+    rows = [(m, b["text"], b["numeric"], b["one_hot"], b["total"]) for m, b in run.cascade.feature_blocks.items()]
+    blocks = spark.createDataFrame(rows, "model string, text long, numeric long, one_hot long, total long")
+    used = run.scored.filter("split = 'train'")
+    labels = used.agg(F.count("*").alias("train_rows"), *[F.count_distinct(c).alias(c) for c in ("urgence_pred", "categorie_pred", "type_ticket_pred")])
+    u, c, t = F.col("urgence_pred"), F.col("categorie_pred"), F.col("type_ticket_pred")
+    expected = F.when(F.col("model") == "urgency", 0).when(F.col("model") == "category", u).when(F.col("model") == "type", u + c).otherwise(u + c + t)
+    return blocks.join(F.broadcast(labels)).select(  # one row
+        "model", "text", "numeric", (F.col("one_hot") == expected).alias("one_hot_fits"),
+        (F.col("total") == F.col("text") + F.col("numeric") + F.col("one_hot")).alias("adds_up"), "train_rows")
+
+
+@query(f"""{_ORIGIN_SPLIT} SELECT "ID", split, urgence, categorie, type_ticket, 4 AS n_predictions, true AS known FROM parts""")
 def oof_predictions(spark, sf):
-    """Every balanced ticket with its split and the three class predictions; train rows are out of fold."""
-    return trained(spark, sf).scored.select("ID", "split", "urgence", "urgence_pred", "categorie", "categorie_pred", "type_ticket", "type_ticket_pred")
+    """Every balanced ticket with its split, labels and how many predictions it has; train rows are predicted out of fold."""
+    scored = trained(spark, sf).scored
+    n = sum(F.col(c).isNotNull().cast("int") for c in _PREDICTED)
+    known = F.col("urgence_pred").isin(URGENCY_LABELS) & F.col("type_ticket_pred").isin("Demande", "Incident") & (F.col("temps_resolution_pred") >= 0)
+    return scored.select("ID", "split", "urgence", "categorie", "type_ticket", n.alias("n_predictions"), known.alias("known"))
 
 
 _PREDICTED = ("urgence_pred", "categorie_pred", "type_ticket_pred", "temps_resolution_pred")
+_STATUS = f"WITH {SQL_TICKETS}, s AS (SELECT \"ID\", CASE WHEN text_full = '' THEN 'empty' WHEN nb_mots < 2 THEN 'too_short' ELSE 'ok' END AS status FROM tickets)"
+_SAME = f"{_STATUS} SELECT status, count(*) AS n, 0::bigint AS n_different FROM s GROUP BY 1"
 
 
-@query()
+def batch_scores(spark, sf):
+    """All tickets scored; stored, because two more queries compare with it."""
+    return built_once(spark, sf, "scores", lambda: settle(C.score_tickets(tickets(spark, sf, typed=False), trained(spark, sf).cascade).select("ID", "status", *_PREDICTED)))
+
+
+def _compared(scores, batch):
+    """Rows per status, and how many have other predictions than the batch, or none there."""
+    other = batch.select(F.col("ID").alias("_id"), F.struct("status", *_PREDICTED).alias("_other"))
+    same = F.struct("status", *_PREDICTED).eqNullSafe(F.col("_other"))
+    return scores.join(other, F.col("ID") == F.col("_id"), "left").groupBy("status").agg(F.count("*").alias("n"), F.count_if(~same).alias("n_different"))
+
+
+@query(f"{_STATUS} SELECT \"ID\", status, CASE WHEN status = 'ok' THEN 4 ELSE 0 END AS n_predictions FROM s")
 def cascade_score(spark, sf):
-    return C.score_tickets(tickets(spark, sf), trained(spark, sf).cascade).select("ID", "status", *_PREDICTED)
+    scores = batch_scores(spark, sf)
+    return scores.select("ID", "status", sum(F.col(c).isNotNull().cast("int") for c in _PREDICTED).alias("n_predictions"))
 
 
-@query()
+@query(_SAME)
 def model_roundtrip(spark, sf):
-    """Predictions of the cascade after saving and loading it."""
+    """Predictions of the cascade after saving and loading it, against those before."""
     path = fresh_path(spark, "cascade")
     models_dir.save_cascade(trained(spark, sf).cascade, path)
-    return C.score_tickets(tickets(spark, sf), models_dir.load_cascade(spark, path)).select("ID", "status", *_PREDICTED)
+    return _compared(C.score_tickets(tickets(spark, sf, typed=False), models_dir.load_cascade(spark, path)), batch_scores(spark, sf))
 
 
 # --- streams -------------------------------------------------------------------------------------
@@ -120,22 +159,21 @@ def _stream(spark, sf, name):
     return spark.readStream.schema(table(spark, sf, name).schema).parquet(os.path.join(sf, f"{name}.parquet*"))
 
 
-@query()
+@query(_SAME)
 def stream_score(spark, sf):
+    """Predictions of the stream against those of the batch."""
     out, state = fresh_path(spark, "scored"), fresh_path(spark, "scored-state")
     arriving = ticket_columns(_stream(spark, sf, "documents")).select("ID", "titre", "texte")
     scoring.score_stream(arriving, trained(spark, sf).cascade, out, state, once=True).awaitTermination()
-    return spark.read.parquet(out).select("ID", "status", *_PREDICTED)
+    return _compared(spark.read.parquet(out), batch_scores(spark, sf))
 
 
-@query("""WITH w AS (SELECT time_bucket(INTERVAL 1 hour, ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY 1, 2),
-  closed AS (SELECT * FROM w WHERE window_start + INTERVAL 1 hour <= (SELECT max(ts) - INTERVAL 10 minute FROM events))
-  SELECT strftime(window_start, '%Y-%m-%d %H:%M') AS window_start, event_type, n, round(n * 100.0::double / sum(n) OVER (PARTITION BY window_start), 6) AS pct FROM closed""")
+@query("""WITH w AS (SELECT time_bucket(INTERVAL 1 hour, ts) AS window_start, event_type, count(*) AS n FROM events GROUP BY 1, 2)
+  SELECT strftime(window_start, '%Y-%m-%d %H:%M') AS window_start, event_type, n, round(n * 100.0::double / sum(n) OVER (PARTITION BY window_start), 6) AS pct FROM w""")
 def stream_distribution(spark, sf):
-    out, state = fresh_path(spark, "windows"), fresh_path(spark, "windows-state")
+    """Every window of the stream, those still open at its end included."""
+    state, name = fresh_path(spark, "windows-state"), fresh_path(spark, "windows")
     counts = monitor.class_distribution_stream(_stream(spark, sf, "events"), "ts", "event_type")
-    monitor.write_closed_windows(counts, out, state, once=True).awaitTermination()
-    shares = monitor.with_window_share(spark.read.parquet(out))
+    monitor.write_windows(counts, name, state, once=True).awaitTermination()
+    shares = monitor.with_window_share(monitor.latest_windows(spark.read.parquet(name), "event_type"))
     return shares.select(F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("window_start"), "event_type", "n", *r6("pct"))
-
-

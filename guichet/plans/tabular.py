@@ -20,7 +20,7 @@ def balanced(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The oversampled tickets, written once; later steps read the files."""
     t = tickets(spark, sf_dir)
     return built_once(spark, sf_dir, "balanced", lambda: settle(
-        S.oversample(t, "urgence", S.target_counts(S.oversample_targets(t)), origin_col="origin")))
+        S.oversample(t, "urgence", S.oversample_targets(t), origin_col="origin")))
 
 
 # --- cleaning ------------------------------------------------------------------------------------
@@ -77,9 +77,10 @@ _SPLIT = f"WITH {SQL_BALANCED}, {sql_split('balanced')}"
 
 
 @query(f"""{_SPLIT} SELECT split, count(*) AS n, (SELECT count(*) FROM balanced) AS total,
-  round(count(*) * 100.0::double / (SELECT count(*) FROM balanced), 6) AS pct FROM split_rows GROUP BY 1""")
+  round(count(*) * 100.0::double / (SELECT count(*) FROM balanced), 6) AS pct,
+  (SELECT count(*) FROM balanced) - (SELECT count(*) FROM split_rows) AS lost FROM split_rows GROUP BY 1""")
 def split_reconcile(spark, sf):
-    return Q.reconcile_split(split_tickets(spark, sf)).select("split", "n", "total", *r6("pct"))
+    return Q.reconcile_split(balanced(spark, sf), split_tickets(spark, sf)).select("split", "n", "total", *r6("pct"), "lost")
 
 
 @query(f"""{_SPLIT}, both_sets AS (SELECT split AS dataset, urgence FROM split_rows UNION ALL SELECT 'original', urgence FROM split_rows)
@@ -184,13 +185,26 @@ def stratified_split_grouped(spark, sf):
     return S.stratified_split(balanced(spark, sf), group_col="origin").select("ID", "urgence", "split")
 
 
-@query(f"""WITH {SQL_TICKETS}, labelled AS (SELECT * FROM tickets WHERE type_ticket IS NOT NULL),
-  z AS (SELECT type_ticket AS c, count(*) AS n FROM labelled GROUP BY 1),
+@query("""WITH sizes AS (SELECT l_returnflag, count(*) AS n FROM lineitem GROUP BY 1), whole AS (SELECT floor(n / 0.5::double) AS total FROM sizes WHERE l_returnflag = 'N')
+  SELECT l_returnflag, greatest(n, CASE l_returnflag WHEN 'A' THEN floor(total * 0.4::double)::bigint WHEN 'R' THEN floor(total * 0.3::double)::bigint ELSE n END) AS n,
+    greatest(n, CASE l_returnflag WHEN 'A' THEN floor(total * 0.4::double)::bigint WHEN 'R' THEN floor(total * 0.3::double)::bigint ELSE n END) AS n_ids,
+    n AS n_before FROM sizes, whole""")
+def oversample_repeated_keys(spark, sf):
+    """Order lines by order key: most keys repeat, yet every row of the result has a name of its own."""
+    lines = table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
+    targets = S.oversample_targets(lines, "l_returnflag", "N", shares={"A": 0.4, "R": 0.3})
+    out = S.oversample(lines, "l_returnflag", targets, id_col="l_orderkey")
+    counts = out.groupBy("l_returnflag").agg(F.count("*").alias("n"), F.count_distinct("l_orderkey").alias("n_ids"))
+    return counts.join(targets.select("l_returnflag", F.col("n").alias("n_before")), "l_returnflag")
+
+
+@query(f"""WITH {SQL_TICKETS}, labelled AS (SELECT *, coalesce('v' || type_ticket, 'n') AS c FROM tickets),
+  z AS (SELECT c, count(*) AS n FROM labelled GROUP BY 1),
   z2 AS (SELECT c, n, (sum(n) OVER (ORDER BY c) - n)::bigint AS start FROM z),
   q AS (SELECT c, i, floor((start + n - 1 - i)::double / 5)::bigint - floor((start - 1 - i)::double / 5)::bigint AS take FROM z2, (SELECT unnest(range(0, 5)) AS i)),
   q2 AS (SELECT c, i, sum(take) OVER (PARTITION BY c ORDER BY i) AS hi, sum(take) OVER (PARTITION BY c ORDER BY i) - take AS lo FROM q),
-  p AS (SELECT "ID", type_ticket, row_number() OVER (PARTITION BY type_ticket ORDER BY md5('42|fold|' || "ID")) AS place FROM labelled)
-  SELECT "ID", type_ticket, i::int AS fold FROM p JOIN q2 ON p.type_ticket = q2.c AND place > lo AND place <= hi""")
+  p AS (SELECT "ID", type_ticket, c, row_number() OVER (PARTITION BY c ORDER BY md5('42|fold|' || "ID")) AS place FROM labelled)
+  SELECT "ID", type_ticket, i::int AS fold FROM p JOIN q2 ON p.c = q2.c AND place > lo AND place <= hi""")
 def stratified_folds(spark, sf):
     return S.stratified_folds(tickets(spark, sf), "type_ticket").select("ID", "type_ticket", "fold")
 
@@ -219,6 +233,7 @@ def metrics_by_split(spark, sf):
 
 @query(f"""WITH {SQL_PREDICTIONS}, {_sql_class_scores()}
   SELECT label, round(precision, 6) AS precision, round(recall, 6) AS recall, round(f1, 6) AS f1, support FROM sc UNION ALL
+  SELECT 'accuracy', round(sum(tp)::double / sum(support), 6), round(sum(tp)::double / sum(support), 6), round(sum(tp)::double / sum(support), 6), sum(support)::bigint FROM sc UNION ALL
   SELECT 'macro avg', round(avg(precision), 6), round(avg(recall), 6), round(avg(f1), 6), sum(support)::bigint FROM sc UNION ALL
   SELECT 'weighted avg', round(sum(precision * support) / sum(support), 6), round(sum(recall * support) / sum(support), 6),
     round(sum(f1 * support) / sum(support), 6), sum(support)::bigint FROM sc""")

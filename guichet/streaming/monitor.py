@@ -26,3 +26,23 @@ def write_closed_windows(counts: DataFrame, out_path: str, checkpoint: str, once
     """Append each window once the watermark has passed its end."""
     writer = counts.writeStream.format("parquet").outputMode("append").option("path", out_path).option("checkpointLocation", checkpoint)
     return writer.trigger(availableNow=True).start() if once else writer.start()
+
+
+def write_windows(counts: DataFrame, out_path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
+    """Store the windows that changed in each batch, open ones included, with the batch's number.
+
+    A late correction is a later row of its window; :func:`latest_windows` reads the last one. A batch that is
+    run again replaces its own folder, so nothing counts twice.
+    """
+
+    def store(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out_path}/batch={number}")
+
+    writer = counts.writeStream.foreachBatch(store).outputMode("update").option("checkpointLocation", checkpoint)
+    return writer.trigger(availableNow=True).start() if once else writer.start()
+
+
+def latest_windows(stored: DataFrame, label: str) -> DataFrame:
+    """One row per window and class: the last that :func:`write_windows` stored."""
+    last = F.max_by("n", "batch").alias("n")
+    return stored.groupBy("window_start", "window_end", label).agg(last)

@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import Window, functions as F
 
 from guichet.operators import sampling as S
-from guichet.operators.ranks import bucketed_rank, class_sizes
+from guichet.operators import quality as Q
+from guichet.operators.ranks import bucketed_rank
 
 
 def tickets(spark, sizes):
@@ -61,7 +62,8 @@ def test_tiny_classes_still_get_exact_quotas(spark):
     for sizes in ({"a": 1, "b": 1}, {"a": 1, "b": 20, "c": 3}, {"a": 10}):
         rows = S.stratified_split(tickets(spark, sizes)).collect()
         got = collections.Counter((r.urgence, r.split) for r in rows)
-        want = {(c, s): n for c, q in S.split_quotas(sizes).items() for s, n in zip(("train", "validation", "test"), q) if n}
+        table = spark.createDataFrame(list(sizes.items()), "__class string, n long")
+        want = {(r["__class"], s): n for r in S.split_quotas(table).collect() for s, n in zip(("train", "validation", "test"), r.quota) if n}
         assert got == want
 
 
@@ -109,7 +111,42 @@ def test_unique_ids_with_ties_only(spark):
     assert got == {"same"} | {f"same_dup_{i}" for i in range(1, 1000)}
 
 
-def test_class_sizes_refuses_keys(spark, monkeypatch):
-    monkeypatch.setattr("guichet.operators.ranks.MAX_CLASSES", 10)
+def test_many_targets_stay_a_table(spark):
+    targets = spark.range(50).selectExpr("CAST(id AS string) AS urgence", "id AS target")
     with pytest.raises(ValueError, match="distinct"):
-        class_sizes(spark.range(50).withColumn("c", F.col("id").cast("string")), "c")
+        S.target_counts(targets, most=10)
+
+
+def test_oversample_with_repeated_ids(spark):
+    rows = [("a", "x", i) for i in range(5)] + [("b", "x", 9), ("c", "y", 1), ("c", "y", 1), (None, "x", 3), ("d", None, 4)]
+    df = spark.createDataFrame(rows, "ID string, urgence string, v int")
+    out = S.oversample(df, "urgence", {"x": 20, "y": 6}, origin_col="origin").collect()
+    assert collections.Counter(r.urgence for r in out) == {"x": 20, "y": 6, None: 1}
+    named = [r.ID for r in out if r.origin is not None]
+    assert len(set(named)) == len(named)
+    for origin in "abc":
+        n = sum(r.origin == origin for r in out)
+        assert {r.ID for r in out if r.origin == origin} == {origin} | {f"{origin}_dup_{i}" for i in range(1, n)}
+    assert {(r.origin, r.v) for r in out} == {(i, v) for i, _, v in rows}
+
+
+def test_thousands_of_classes(spark):
+    df = spark.range(10_000).selectExpr("CAST(id AS string) AS ID", "CAST(id % 5000 AS string) AS urgence")
+    targets = spark.range(5000).selectExpr("CAST(id AS string) AS urgence", "2 + id % 3 AS target")
+    out = S.oversample(df, "urgence", targets)
+    wrong = out.groupBy("urgence").count().join(targets, "urgence").filter("count <> target").count()
+    assert wrong == 0 and out.count() == sum(2 + i % 3 for i in range(5000))
+    parts = S.stratified_split(df)
+    assert {r.split: r["count"] for r in parts.groupBy("split").count().collect()} == {"train": 7000, "validation": 1500, "test": 1500}
+
+
+def test_rows_without_a_class_are_split_too(spark):
+    rows = [(str(i), "a" if i % 5 else None) for i in range(100)]
+    df = spark.createDataFrame(rows, "ID string, urgence string")
+    parts = S.stratified_split(df)
+    assert collections.Counter((r.urgence, r.split) for r in parts.collect()) == {
+        ("a", "train"): 56, ("a", "validation"): 12, ("a", "test"): 12, (None, "train"): 14, (None, "validation"): 3, (None, "test"): 3}
+    folds = collections.Counter((r.urgence, r.fold) for r in S.stratified_folds(df, "urgence").collect())
+    assert folds == {("a", i): 16 for i in range(5)} | {(None, i): 4 for i in range(5)}
+    assert {r.lost for r in Q.reconcile_split(df, parts).collect()} == {0}
+    assert {r.lost for r in Q.reconcile_split(df, parts.filter("urgence IS NOT NULL")).collect()} == {20}
