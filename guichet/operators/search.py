@@ -33,7 +33,8 @@ def dense_scores(docs: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarr
         return -np.stack([np.square(docs - q).sum(axis=1) for q in queries])
     norms = np.outer(np.linalg.norm(queries, axis=1), np.linalg.norm(docs, axis=1))
     dots = queries @ docs.T
-    return np.divide(dots, norms, out=np.zeros_like(dots), where=norms > 0)
+    with np.errstate(invalid="ignore"):
+        return np.where(norms == 0, 0.0, np.divide(dots, norms, out=np.full_like(dots, np.nan), where=norms > 0))
 
 
 def sparse_scores(indices: np.ndarray, values: np.ndarray, lengths: np.ndarray, queries: np.ndarray) -> np.ndarray:
@@ -59,8 +60,20 @@ def sparse_scores(indices: np.ndarray, values: np.ndarray, lengths: np.ndarray,
     return scores
 
 
+def comparable(scores: np.ndarray, metric: str) -> np.ndarray:
+    """Scores without the noise of summation: cosines at a fixed number of digits, distances at as many significant ones."""
+    if metric != "l2sq":
+        return np.round(scores, RANK_DIGITS) + 0.0
+    with np.errstate(divide="ignore", invalid="ignore"):
+        unit = np.power(10.0, np.floor(np.log10(np.abs(scores))) - RANK_DIGITS)
+        return np.where(scores == 0, 0.0, np.round(scores / unit) * unit)
+
+
 def keep_best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """The k best of one query by (score descending, id ascending)."""
+    """The k best of one query by (score descending, id ascending); scores that are no finite numbers are left out."""
+    finite = np.isfinite(scores)
+    if not finite.all():
+        ids, scores = ids[finite], scores[finite]
     if len(ids) > k:
         kth = np.partition(scores, len(scores) - k)[len(scores) - k]
         near = scores >= kth
@@ -69,21 +82,26 @@ def keep_best(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray,
     return ids[order], scores[order]
 
 
-def _stack(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
+def _stack(column: pa.Array) -> np.ndarray:
+    """Vectors of one length as a matrix; a null entry is NaN."""
     flat = column.flatten().to_numpy(zero_copy_only=False).astype(np.float64)
     return flat.reshape(len(column), -1)
 
 
-def _search_task(score: Callable[[pa.RecordBatch], np.ndarray], query_ids: list, k: int, schema: StructType):
-    """A mapInArrow function that keeps a running top-k per query over its task's batches."""
+def _search_task(score: Callable[[pa.RecordBatch], np.ndarray], query_ids: list, k: int, schema: StructType, metric: str = "cosine"):
+    """A mapInArrow function that keeps a running top-k per query over its task's batches, at most CELLS scores at a time."""
+
+    def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = max(1, CELLS // max(1, len(query_ids)))
+        for batch in batches:
+            for start in range(0, batch.num_rows if query_ids else 0, rows):
+                yield batch.slice(start, rows)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best: list = [None] * len(query_ids)
-        for batch in batches:
-            if batch.num_rows == 0 or not query_ids:
-                continue
+        for batch in tiles(batches):
             ids = batch.column(0).to_numpy(zero_copy_only=False)
-            scores = np.round(score(batch), RANK_DIGITS) + 0.0
+            scores = comparable(score(batch), metric)
             for q in range(len(query_ids)):
                 found = keep_best(ids, scores[q], k)
                 if best[q] is not None:
@@ -120,7 +138,7 @@ def _small_batch(queries: DataFrame, row_bytes: int) -> list | None:
 
 
 def _block_search(q: DataFrame, d: DataFrame, query_id: str, doc_id: str, k: int, schema: StructType,
-                  score: Callable[[pd.DataFrame, pd.DataFrame], np.ndarray]) -> DataFrame:
+                  score: Callable[[pd.DataFrame, pd.DataFrame], np.ndarray], metric: str = "cosine") -> DataFrame:
     """Every bounded block of queries meets every bounded part of the documents once; a meeting yields k rows per query."""
     blocks = -(-q.count() // max(1, MAX_QUERIES // 2))
     parts = max(1, -(-d.count() // DOCS_PER_GROUP))
@@ -133,7 +151,7 @@ def _block_search(q: DataFrame, d: DataFrame, query_id: str, doc_id: str, k: int
         step = max(1, CELLS // max(1, len(b)))
         for start in range(0, len(a) if len(b) else 0, step):
             some = a.iloc[start:start + step]
-            scores = np.round(score(some, b), RANK_DIGITS) + 0.0
+            scores = comparable(score(some, b), metric)
             for name, row in zip(some["query_id"], scores):
                 found += [(name, i, s) for i, s in zip(*keep_best(b["id"].to_numpy(), row, k))]
         return pd.DataFrame(found, columns=["query_id", "id", "score"])
@@ -147,7 +165,8 @@ def dense_search(queries: DataFrame, docs: DataFrame, k: int = 3, metric: str =
                  doc_id: str = "id", doc_vec: str = "embedding") -> DataFrame:
     """(query_id, id, rank) with ``similarity``/``distance`` for cosine, ``distance`` for l2sq.
 
-    A zero vector has cosine similarity 0. Null vectors are skipped.
+    A zero vector has cosine similarity 0. Null vectors and vectors with NaN or infinite entries are skipped;
+    a vector of another length than the first query's fails its task.
     """
     if metric not in ("cosine", "l2sq"):
         raise ValueError(f"unknown metric {metric}")
@@ -155,19 +174,23 @@ def dense_search(queries: DataFrame, docs: DataFrame, k: int = 3, metric: str =
     q = queries.filter(F.col(query_vec).isNotNull()).select(query_id, F.col(query_vec).cast("array<double>").alias("v"))
     d = docs.filter(F.col(doc_vec).isNotNull()).select(doc_id, F.col(doc_vec).cast("array<double>").alias("v"))
     head = q.select(F.size("v")).first()
-    rows = _small_batch(q, 8 * (head[0] if head else 1))
+    size = head[0] if head else 1
+    if head:
+        other = F.raise_error(F.format_string(f"a vector has %d entries, the first query {size}", F.size("v"))).cast("array<double>")
+        q, d = (x.withColumn("v", F.when(F.size("v") == size, F.col("v")).otherwise(other)) for x in (q, d))
+    rows = _small_batch(q, 8 * size)
     if rows is not None:
         ids, matrix = [r[0] for r in rows], np.array([r[1] for r in rows], dtype=np.float64)
 
         def score(batch: pa.RecordBatch) -> np.ndarray:
             return dense_scores(_stack(batch.column(1)), matrix, metric)
 
-        candidates = d.mapInArrow(_search_task(score, ids, k, schema), schema)
+        candidates = d.mapInArrow(_search_task(score, ids, k, schema, metric), schema)
     else:
         def meeting(a: pd.DataFrame, b: pd.DataFrame) -> np.ndarray:
             return dense_scores(np.stack(b["v"].to_numpy()), np.stack(a["v"].to_numpy()), metric)
 
-        candidates = _block_search(q, d, query_id, doc_id, k, schema, meeting)
+        candidates = _block_search(q, d, query_id, doc_id, k, schema, meeting, metric)
     ranked = best_per_query(candidates, k)
     if metric == "l2sq":
         return ranked.select("query_id", "id", "rank", (-F.col("score")).alias("distance"))

@@ -16,6 +16,9 @@ from .standin import SQL_BALANCED, SQL_TICKETS, sql_split, sql_terms, sql_vocab,
 from .tabular import balanced, r6
 
 PARALLEL_FOLDS = 5
+# Tree training takes memory and time in proportion to features times bins at each of 200 levels: the registered run
+# gives the regressor the most frequent terms only. The classifiers read the whole vocabulary.
+TIME_TERMS = 1_000
 
 
 # --- stored tables -------------------------------------------------------------------------------
@@ -49,11 +52,11 @@ def metadata_upsert(spark, sf):
 # that beat what the labels alone would give.
 
 def trained(spark, sf) -> C.CascadeRun:
-    """The cascade at the models' own settings on balanced tickets, split by origin so copies of a ticket stay together."""
+    """The cascade on balanced tickets, split by origin so copies of a ticket stay together: all terms and solver steps for the classifiers."""
 
     def build():
         parts = S.stratified_split(balanced(spark, sf), group_col="origin")
-        return C.train_cascade(parts, W.MODEL_TFIDF, group_col="origin", parallelism=PARALLEL_FOLDS)
+        return C.train_cascade(parts, W.MODEL_TFIDF, TIME_TERMS, group_col="origin", parallelism=PARALLEL_FOLDS)
 
     return built_once(spark, sf, "cascade", build)
 
@@ -97,7 +100,7 @@ def train_time(spark, sf):
 
 
 @query(f"""{_ORIGIN_SPLIT}, train AS (SELECT * FROM parts WHERE split = 'train'), {sql_terms('train', '"ID"', 'text_full', True)}, {sql_vocab('train', 2, 50_000)}
-  SELECT m.model, (SELECT count(*) FROM vocab) AS text, 1::bigint AS numeric, true AS one_hot_fits, true AS adds_up, (SELECT count(*) FROM train) AS train_rows
+  SELECT m.model, CASE m.model WHEN 'time' THEN least((SELECT count(*) FROM vocab), {TIME_TERMS}) ELSE (SELECT count(*) FROM vocab) END AS text, 1::bigint AS numeric, true AS one_hot_fits, true AS adds_up, (SELECT count(*) FROM train) AS train_rows
   FROM (VALUES ('urgency'), ('category'), ('type'), ('time')) m(model)""")
 def feature_vectors(spark, sf):
     """Block sizes of each model, beside the labels that its upstream predictions can have."""

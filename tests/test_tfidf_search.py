@@ -103,7 +103,7 @@ def test_dense_search_matches_brute_force_on_both_paths(spark, monkeypatch, metr
         if metric == "cosine":
             s = [round(float(v @ x / (np.linalg.norm(v) * np.linalg.norm(x))), 9) if v.any() and x.any() else 0.0 for x in d]
         else:
-            s = [-round(float(((v - x) ** 2).sum()), 9) for x in d]
+            s = [-float(((v - x) ** 2).sum()) for x in d]
         best = sorted(range(len(d)), key=lambda j: (-s[j], j))[:5]
         want += [(i, r + 1, j) for r, j in enumerate(best)]
     key = lambda df: sorted((r.query_id, r["rank"], r.id) for r in df.collect())
@@ -123,6 +123,30 @@ def test_dense_search_edge_cases(spark):
         R.dense_search(asked, docs_df, 3, "manhattan")
 
 
+@pytest.mark.parametrize("metric", ["cosine", "l2sq"])
+def test_vectors_without_a_number_hide_no_hits(spark, metric):
+    nan = float("nan")
+    rows = [(i, [nan, 1.0] if i % 17 == 3 else [float(i), 1.0]) for i in range(60)] + [(99, [float("inf"), 0.0])]
+    docs_df = spark.createDataFrame(rows, "id long, embedding array<double>").coalesce(1)
+    asked = spark.createDataFrame([("q", [10.0, 1.0]), ("bad", [nan, 0.0])], "query_id string, embedding array<double>")
+    hits = R.dense_search(asked, docs_df, 3, metric).collect()
+    assert [r.id for r in sorted(hits, key=lambda r: r["rank"])][0] == 10 and len(hits) == 3 and {r.query_id for r in hits} == {"q"}
+
+
+def test_vectors_of_another_length_fail(spark):
+    docs_df = spark.createDataFrame([(1, [1.0, 0.0]), (2, [1.0, 0.0, 0.0, 0.0])], "id long, embedding array<double>")
+    asked = spark.createDataFrame([("q", [1.0, 0.0, 0.0])], "query_id string, embedding array<double>")
+    with pytest.raises(Exception, match="entries"):
+        R.dense_search(asked, docs_df, 3).collect()
+
+
+def test_tiny_distances_are_told_apart(spark):
+    docs_df = spark.createDataFrame([(i, [1.0 + (5 - i) * 1e-5, 0.0]) for i in range(5)], "id long, embedding array<double>")
+    asked = spark.createDataFrame([("q", [1.0, 0.0])], "query_id string, embedding array<double>")
+    hits = R.dense_search(asked, docs_df, 2, "l2sq").orderBy("rank").collect()
+    assert [r.id for r in hits] == [4, 3] and hits[0].distance == pytest.approx(1e-10, rel=1e-6)
+
+
 def test_index_survives_storage(spark, corpus, tmp_path):
     index = stores.build_tfidf_index(corpus, W.INDEX_TFIDF, "text")
     path = str(tmp_path / "index")
