@@ -11,8 +11,10 @@ from .registry import query, table
 
 #: A line is boilerplate on a host if more distinct texts hold it than both of these allow.
 MIN_DOCS, MAX_SHARE = 20, 0.01
+#: A text fails the base rules with fewer words than this.
+MIN_WORDS = 10
 #: A document is depleted if fewer words, or a smaller share of its words, than this stay.
-MIN_WORDS, MIN_LEFT = 10, 0.3
+LEFT_WORDS, LEFT_SHARE = 5, 0.3
 #: Words in a repetition window, and the percentage of words in repeated windows that fails a text.
 WINDOW, MAX_REPEATED = 5, 20
 COUNTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -63,7 +65,7 @@ def base_metrics(docs: DataFrame, keep: list[str], text_col: str) -> DataFrame:
 
 
 def line_verdicts(docs: DataFrame, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text",
-                  min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, min_words: int = MIN_WORDS, min_left: float = MIN_LEFT) -> tuple[DataFrame, DataFrame]:
+                  min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, left_words: int = LEFT_WORDS, left_share: float = LEFT_SHARE) -> tuple[DataFrame, DataFrame]:
     """Quality verdicts and the lines to remove.
 
     The first table has, for each row, id, h (host), k1 and k2 (text), COUNTS, base_failed, words_left and kept.
@@ -72,8 +74,8 @@ def line_verdicts(docs: DataFrame, id_col: str = "doc_id", host_col: str = "sour
     Lines are hashed in lower case with single spaces. Among the texts that pass the base rules, each host's
     distinct texts that hold a line are counted, copies as one. A line that more than ``min_docs`` texts and
     ``max_share`` of the host's texts hold is removed, but stays in the text with the host's smallest id among
-    them, so that the first of a group of copies is whole. A text is kept if at least ``min_words`` words and
-    ``min_left`` of its words stay. Equal texts of a host, repeated rows among them, get one verdict; null hosts
+    them, so that the first of a group of copies is whole. A text is kept if at least ``left_words`` words and
+    ``left_share`` of its words stay. Equal texts of a host, repeated rows among them, get one verdict; null hosts
     are one host; null ids sort first.
     """
     keyed = docs.select(F.col(id_col).alias("id"), text_key(F.col(host_col))[0].alias("h"), *[k.alias(n) for k, n in zip(text_key(F.col(text_col)), ("k1", "k2"), strict=True)], F.col(text_col).alias("text"))
@@ -93,7 +95,7 @@ def line_verdicts(docs: DataFrame, id_col: str = "doc_id", host_col: str = "sour
     out = rows.join(lost, (F.col("h") == F.col("_h")) & (F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2")), "left").drop("_h", "_k1", "_k2")
     left = F.col("n_words") - F.coalesce("lost", F.lit(0))
     out = out.withColumn("words_left", left).drop("lost")
-    kept = ~F.col("base_failed") & (F.col("words_left") >= min_words) & (F.col("words_left") >= min_left * F.col("n_words"))
+    kept = ~F.col("base_failed") & (F.col("words_left") >= left_words) & (F.col("words_left") >= left_share * F.col("n_words"))
     return out.withColumn("kept", kept), gone.select("_h", "_k1", "_k2", "line")
 
 
@@ -129,7 +131,7 @@ host AS (SELECT source, count(*) AS texts FROM t GROUP BY ALL),
 o AS (SELECT h.source, l, min(least) AS least FROM h JOIN host ON h.source IS NOT DISTINCT FROM host.source GROUP BY h.source, l, texts HAVING count(*) > {MIN_DOCS} AND count(*) > {MAX_SHARE} * texts),
 lost AS (SELECT h.source, text, sum(words) AS lost FROM h JOIN o ON h.source IS NOT DISTINCT FROM o.source AND h.l = o.l AND h.least <> o.least GROUP BY ALL)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-    NOT base_failed AND n_words - coalesce(lost, 0) >= {MIN_WORDS} AND n_words - coalesce(lost, 0) >= {MIN_LEFT} * n_words AS kept, (n_words - coalesce(lost, 0))::BIGINT AS words_left
+    NOT base_failed AND n_words - coalesce(lost, 0) >= {LEFT_WORDS} AND n_words - coalesce(lost, 0) >= {LEFT_SHARE} * n_words AS kept, (n_words - coalesce(lost, 0))::BIGINT AS words_left
 FROM f LEFT JOIN lost ON f.source IS NOT DISTINCT FROM lost.source AND f.text = lost.text
 """
 
