@@ -325,8 +325,7 @@ def overfit_gap(spark, sf):
 
 @query(f"WITH {SQL_PREDICTIONS} SELECT urgence AS label FROM predictions UNION SELECT urgence_pred FROM predictions")
 def label_union(spark, sf):
-    p = predictions(spark, sf)
-    return p.select(F.col("urgence").alias("label")).unionByName(p.select(F.col("urgence_pred").alias("label"))).distinct()
+    return E.class_scores(predictions(spark, sf), "urgence", "urgence_pred").select("label")
 
 
 @query(f"""{_ERR} SELECT "ID", round(temps_resolution_pred - temps_resolution, 6) AS error, round(abs_error, 6) AS abs_error,

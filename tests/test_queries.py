@@ -39,7 +39,12 @@ def test_every_query_has_sql():
     assert set(QUERIES) <= set(entry_point.queries())
 
 
-@pytest.mark.parametrize("name", sorted(ORACLES))
+# The queries that share the registered training run take minutes; they run when asked for.
+TRAINED = {"train_urgency", "train_category", "train_type", "train_time", "feature_vectors", "oof_predictions", "cascade_score", "model_roundtrip", "stream_score"}
+WANTED = set(ORACLES) if os.environ.get("GUICHET_TRAINED") else set(ORACLES) - TRAINED
+
+
+@pytest.mark.parametrize("name", sorted(WANTED))
 def test_query_matches_sql(spark, duck, name):
     df = entry_point.queries()[name](spark, SF)
     columns = sorted(df.columns)
