@@ -60,13 +60,17 @@ def written(spark: SparkSession) -> set[str]:
     return set(_written.get(spark.sparkContext.applicationId, ()))
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder in whatever store its path names."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def forget(spark: SparkSession, paths: set[str] | None = None) -> None:
     """Delete tables made on the way, by default all: for when the results that read them are stored or no longer needed."""
     gone = written(spark) if paths is None else paths
-    jvm, hadoop = spark._jvm, spark._jsc.hadoopConfiguration()
     for path in gone:
-        place = jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(hadoop).delete(place, True)
+        delete_path(spark, path)
     _written.get(spark.sparkContext.applicationId, set()).difference_update(gone)
 
 

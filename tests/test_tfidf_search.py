@@ -150,8 +150,16 @@ def test_tiny_distances_are_told_apart(spark):
 def test_index_survives_storage(spark, corpus, tmp_path):
     index = stores.build_tfidf_index(corpus, W.INDEX_TFIDF, "text")
     path = str(tmp_path / "index")
+    with pytest.raises(FileNotFoundError):
+        stores.load_tfidf_index(spark, path)
     stores.save_tfidf_index(index, path)
+    broken = stores.TfidfIndex(index.model, index.vectors, corpus.select(F.raise_error(F.lit("lost")).alias("id")))
+    with pytest.raises(Exception, match="lost"):
+        stores.save_tfidf_index(broken, path)
+    assert stores.load_tfidf_index(spark, path).chunks.count() == 6  # a failed build changes nothing
+    first = {p.name for p in (tmp_path / "index").glob("build-*")}
     stores.save_tfidf_index(index, path)  # a rebuild replaces the old tables
+    assert len({p.name for p in (tmp_path / "index").glob("build-*")} & first) == 1  # what is left is the broken build's
     loaded = stores.load_tfidf_index(spark, path)
     asked = spark.createDataFrame([("q", "levain four")], "query_id string, text string")
     a = R.tfidf_search(asked, index.model, index.vectors, 6).orderBy("rank").collect()
