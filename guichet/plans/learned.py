@@ -17,7 +17,7 @@ from .standin import SQL_BALANCED, SQL_TICKETS, sql_split, sql_terms, sql_vocab,
 from .tabular import balanced, r6
 
 PARALLEL_FOLDS = 5
-# The library trains on 50,000 terms for 2,000 solver steps by default. At those settings the 24 fits of the registered
+# The library trains on 50,000 terms for 2,000 solver steps by default. At those settings the fits of the registered
 # run did not end within 400 s on the smallest tables, so it is bounded: the most frequent terms and fewer steps.
 TRAINING_TERMS, TRAINING_STEPS = 1_000, 200
 
