@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import settle
-from .common import SPACE, ascii_lower, byte_words
+from .common import SPACE, ascii_lower, byte_words, slices
 from .components import components
 from .registry import query, table
 
@@ -22,6 +22,11 @@ BITS = 64
 BLOCK = 8_192
 #: Relative costs of sending one key row through the shuffle and of comparing one pair.
 ROW_COST, PAIR_COST = 1.0, 0.005
+#: Nodes that follow under a shared shingle with which each is compared first.
+NEAR = 4
+#: Texts sampled for common shingles, how many of them make a shingle common, and how many such shingles are sent to the tasks.
+SAMPLED, COMMON, MOST_COMMON = 20_000, 8, 200_000
+MET = ["tok", "a", "b", "n", "place"]
 
 
 def _majority(hashes: np.ndarray) -> np.ndarray:
@@ -52,23 +57,11 @@ def fingerprint(words: list[bytes], size: int = 3) -> int:
     return int(_majority(np.fromiter((digest(s, 42) for s in found), np.uint64, len(found))[:, None])[0])
 
 
-def similarity_signature(words: list[bytes], size: int = 5, lanes: int = 4) -> list[int]:
-    """SimHash of ``64 * lanes`` bits over the distinct shingles: its differing bits estimate their Jaccard similarity."""
-    found = set(shingles(words, size))
-    if not found:
-        return [0] * lanes
-    raw = b"".join([d(s) for s in found for d in (xxhash.xxh3_128_digest, _second_digest)])
-    return _majority(np.frombuffer(raw, "<u8").reshape(len(found), 4)[:, :lanes]).tolist()
-
-
-def _second_digest(s: bytes) -> bytes:
-    return xxhash.xxh3_128_digest(s, 42)
-
-
-def jaccard_radius(similarity: float, bits: int, slack: float = 1.5) -> int:
-    """Differing signature bits that sets of this Jaccard similarity stay within, up to ``slack`` standard deviations."""
-    p = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
-    return int(bits * p + slack * (bits * p * (1 - p)) ** 0.5)
+def shingle_set(words: list[bytes], size: int = 5) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the shingles, as signed longs."""
+    found = shingles(words, size)
+    digest = xxhash.xxh3_64_intdigest
+    return np.unique(np.fromiter((digest(s) for s in found), np.uint64, len(found)).view(np.int64))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 3) -> DataFrame:
@@ -191,40 +184,35 @@ def _forest(close: np.ndarray) -> list[tuple[int, int]]:
     return out
 
 
-def _verified(fp: np.ndarray, sig: np.ndarray, radius: int, sig_radius: int, a, b) -> np.ndarray:
-    ok = np.bitwise_count(fp[a] ^ fp[b]) <= radius
-    if sig.shape[1]:
-        ok &= np.bitwise_count(sig[a] ^ sig[b]).sum(-1, dtype=np.int64) <= sig_radius
-    return ok
+def _verified(fp: np.ndarray, radius: int, a, b) -> np.ndarray:
+    return np.bitwise_count(fp[a] ^ fp[b]) <= radius
 
 
-def _bucket_links(fp: np.ndarray, sig: np.ndarray, radius: int, sig_radius: int) -> list[tuple[int, int]]:
+def _bucket_links(fp: np.ndarray, radius: int) -> list[tuple[int, int]]:
     """Links that keep the components of one bucket. A row is compared only with rows not reached yet."""
     if len(fp) <= 512:
         every = np.arange(len(fp))
-        return _forest(_verified(fp, sig, radius, sig_radius, every[:, None], every[None, :]))
+        return _forest(_verified(fp, radius, every[:, None], every[None, :]))
     left, out = np.arange(len(fp)), []
     while len(left):
         edge, left = [int(left[0])], left[1:]
         while edge and len(left):
             at = edge.pop()
-            near = _verified(fp, sig, radius, sig_radius, at, left)
+            near = _verified(fp, radius, at, left)
             out += [(at, int(x)) for x in left[near]]
             edge += left[near].tolist()
             left = left[~near]
     return out
 
 
-def links(nodes: DataFrame, radius: int, sig_radius: int = 0) -> DataFrame:
+def links(nodes: DataFrame, radius: int) -> DataFrame:
     """(a, b): links between nodes whose fingerprints differ in at most ``radius`` bits.
 
-    ``nodes`` has one row per (node long, fp long) and may have sig array<long>; then the signatures must
-    also be within ``sig_radius`` bits. Each node sends one row for every value near its own in each probed
-    partition; rows that meet under a value are compared inside the task. The result holds enough of the
+    ``nodes`` has one row per (node long, fp long). Each node sends one row for every value near its own in each
+    probed partition; rows that meet under a value are compared inside the task. The result holds enough of the
     links to keep every component, never all pairs of a bucket. A bucket with more than BLOCK members is
     dealt to blocks, and each pair of blocks is a bucket of its own, so no task holds more than two blocks.
     """
-    signed = "sig" in nodes.columns
     probes = []
     for k, (group, e) in enumerate(plan(bit_counts(nodes), radius)):
         mask = sum(1 << b for b in group)
@@ -241,7 +229,7 @@ def links(nodes: DataFrame, radius: int, sig_radius: int = 0) -> DataFrame:
     keyed = keyed.withColumn("block", F.explode(dealt)).drop("blocks")
     together = keyed.repartition("part", "key", "block").sortWithinPartitions("part", "key", "block", "node")
 
-    def compare(node: np.ndarray, fp: np.ndarray, sig: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def compare(node: np.ndarray, fp: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All buckets that lie whole in the arrays."""
         starts = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
         sizes = np.diff(np.r_[starts, len(bucket)])
@@ -251,11 +239,11 @@ def links(nodes: DataFrame, radius: int, sig_radius: int = 0) -> DataFrame:
             i = np.flatnonzero(few[:-apart] & (bucket[apart:] == bucket[:-apart])) if len(bucket) > apart else []
             if not len(i):
                 break
-            i = i[_verified(fp, sig, radius, sig_radius, i, i + apart)]
+            i = i[_verified(fp, radius, i, i + apart)]
             a.append(node[i])
             b.append(node[i + apart])
         for s, size in zip(starts[sizes > 8].tolist(), sizes[sizes > 8].tolist(), strict=True):
-            if found := _bucket_links(fp[s:s + size], sig[s:s + size], radius, sig_radius):
+            if found := _bucket_links(fp[s:s + size], radius):
                 i = np.array(found) + s
                 a.append(node[i[:, 0]])
                 b.append(node[i[:, 1]])
@@ -270,29 +258,25 @@ def links(nodes: DataFrame, radius: int, sig_radius: int = 0) -> DataFrame:
         for batch in batches:
             node, fp, key, block = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("node", "fp", "key", "block"))
             part = batch.column("part").to_numpy(zero_copy_only=False)
-            sig = np.zeros((len(node), 0), np.uint64)
-            if signed:
-                sig = np.asarray(batch.column("sig").flatten().to_numpy(zero_copy_only=False)).reshape(len(node), -1).view(np.uint64)
             new = (part[1:] != part[:-1]) | (key[1:] != key[:-1]) | (block[1:] != block[:-1])
             here = (part[0], key[0], block[0]) if len(node) else None
             if here is None:
                 continue
             bucket = np.r_[0, np.cumsum(new)]
             if kept is not None:
-                bucket = bucket + kept[3][-1] + (here != last)
-                node, fp, sig, bucket = (np.concatenate(x) for x in zip(kept, (node, fp.view(np.uint64), sig, bucket), strict=True))
+                bucket = bucket + kept[2][-1] + (here != last)
+                node, fp, bucket = (np.concatenate(x) for x in zip(kept, (node, fp.view(np.uint64), bucket), strict=True))
             last, fp = (part[-1], key[-1], block[-1]), fp.view(np.uint64)
             whole = int(np.searchsorted(bucket, bucket[-1]))  # the last bucket may go on in the next batch
             if whole:
-                a, b = compare(node[:whole], fp[:whole], sig[:whole], bucket[:whole])
+                a, b = compare(node[:whole], fp[:whole], bucket[:whole])
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
-            kept = (node[whole:], fp[whole:], sig[whole:], bucket[whole:])
+            kept = (node[whole:], fp[whole:], bucket[whole:])
         if kept is not None:
             a, b = compare(*kept)
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    columns = ["part", "key", "block", "node", "fp", *(["sig"] if signed else [])]
-    return together.select(*columns).mapInArrow(run, "a long, b long").distinct()
+    return together.select("part", "key", "block", "node", "fp").mapInArrow(run, "a long, b long").distinct()
 
 
 def _sql(v: int) -> str:
@@ -315,31 +299,129 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     return found.join(named, found.fp == F.col("_fp")).select("id", "fp", "component_id")
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8, radius: int = 6, lanes: int = 4) -> DataFrame:
+def prefix_of(found: np.ndarray, similarity: float, common: np.ndarray, rank: np.ndarray) -> np.ndarray:
+    """The first shingles of a set in the order that all sets share: sets of this Jaccard similarity share one of them.
+
+    ``common`` are sorted hashes of shingles that come last, by ``rank``; all others are ordered by hash.
+    """
+    if not len(found):
+        return found
+    if len(common):
+        at = np.minimum(np.searchsorted(common, found), len(common) - 1)
+        found = found[np.lexsort((found, np.where(common[at] == found, rank[at], 0)))]
+    return found[:len(found) - int(np.ceil(similarity * len(found) - 1e-9)) + 1]
+
+
+def _may_reach(similarity: float, n, m, i, j):
+    """Whether sets of n and m shingles whose first common shingle has places i and j can be similar. Columns or arrays."""
+    least = similarity / (1 + similarity) * (n + m) - 1e-6
+    return (n - i >= least) & (m - j >= least)
+
+
+def _common_shingles(given: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that many texts of a sample hold, sorted, and their ranks from 1 by count. They only steer the cost."""
+    texts = given.select("node").distinct().count()
+    part = given.filter(F.pmod(F.xxhash64(F.lit(5), "node"), F.lit(max(1, texts // SAMPLED))) == 0).dropDuplicates(["node"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for t in batch.column("text"):
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(byte_words(t.as_py()), size))], ["s"])
+
+    often = part.select("text").mapInArrow(run, "s long").groupBy("s").agg(F.count("*").alias("n")).filter(F.col("n") >= COMMON)
+    rows = sorted((r.n, r.s) for r in often.orderBy(F.desc("n"), "s").limit(MOST_COMMON).collect())
+    hashes = np.array([s for _, s in rows], np.int64)
+    order = np.argsort(hashes)
+    return hashes[order], order + 1
+
+
+def similar_links(given: DataFrame, size: int, similarity: float) -> DataFrame:
+    """(a, b): links between nodes whose distinct shingles have at least this Jaccard similarity, decided on the sets.
+
+    ``given`` has rows (node long, text binary); rows of one node have equal words. Nodes meet under each shingle
+    of their prefixes, so no similar pair is missed. Under a shingle each node is first compared with the NEAR
+    that follow by size. Pairs further apart are compared only where those links don't join them already, so a
+    large group of near copies costs few pairs. The result keeps every component of the similar pairs.
+    """
+    sent = given.sparkSession.sparkContext.broadcast(_common_shingles(given, size))
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        common, rank = sent.value
+        for batch in batches:
+            for whole in slices([batch], "text", 1 << 20):
+                sets = [shingle_set(byte_words(t.as_py()), size) for t in whole.column("text")]
+                first = [prefix_of(s, similarity, common, rank) for s in sets]
+                sizes = [len(f) for f in first]
+                tok = np.concatenate(first) if first else np.zeros(0, np.int64)
+                node = np.repeat(whole.column("node").to_numpy(zero_copy_only=False).astype(np.int64), sizes)
+                n = np.repeat(np.array([len(s) for s in sets], np.int32), sizes)
+                place = np.concatenate([np.arange(k, dtype=np.int32) for k in sizes]) if sizes else np.zeros(0, np.int32)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in (tok, node, n, place)], ["tok", "node", "n", "place"])
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Pairs (null, a, b) of neighbours, and (tok, a) rows of those that have more than NEAR nodes after or before them."""
+        kept = [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int32)]
+        for batch in batches:
+            old = len(kept[0])
+            tok, node, n, place = (np.concatenate([k, batch.column(c).to_numpy(zero_copy_only=False)]) for k, c in zip(kept, ("tok", "node", "n", "place"), strict=True))
+            new = np.r_[True, (tok[1:] != tok[:-1]) | (node[1:] != node[:-1])][:len(tok)]
+            tok, node, n, place = tok[new], node[new], n[new], place[new]
+            a, b = [], []
+            for apart in range(1, NEAR + 1):
+                i = np.flatnonzero((tok[apart:] == tok[:-apart]) & (np.arange(apart, len(tok)) >= old))
+                i = i[_may_reach(similarity, n[i], n[i + apart], place[i], place[i + apart])]
+                a.append(np.minimum(node[i], node[i + apart]))
+                b.append(np.maximum(node[i], node[i + apart]))
+            far = np.flatnonzero(tok[NEAR + 1:] == tok[:-NEAR - 1])
+            far = np.unique(np.r_[far, far + NEAR + 1])
+            pairs = np.unique(np.stack([np.concatenate(a), np.concatenate(b)]), axis=1)
+            none = pa.nulls(pairs.shape[1], pa.int64())
+            yield pa.RecordBatch.from_arrays([none, pa.array(pairs[0]), pa.array(pairs[1]), none.cast(pa.int32()), none.cast(pa.int32())], MET)
+            yield pa.RecordBatch.from_arrays([pa.array(tok[far]), pa.array(node[far]), pa.nulls(len(far), pa.int64()), pa.array(n[far]), pa.array(place[far])], MET)
+            kept = [x[-NEAR - 1:] for x in (tok, node, n, place)]
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for whole in slices([batch], "text", 1 << 20):
+                found = [shingle_set(byte_words(t.as_py()), size).tolist() for t in whole.column("text")]
+                yield pa.RecordBatch.from_arrays([whole.column("node"), pa.array(found, pa.list_(pa.int64()))], ["node", "s"])
+
+    def similar(pairs: DataFrame) -> DataFrame:
+        """The pairs whose sets are similar."""
+        pairs = settle(pairs, "pairs")
+        needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        texts = given.join(needed, "node", "left_semi").select("node", "text").dropDuplicates(["node"])
+        held = settle(texts.mapInArrow(sets, "node long, s array<long>"), "sets")
+        both = pairs.join(held.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a").join(held.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
+        shared = F.size(F.array_intersect("sa", "sb"))
+        return settle(both.filter(shared * (1 + similarity) >= similarity * (F.size("sa") + F.size("sb")) - 1e-6).select("a", "b"), "similar")
+
+    keyed = given.mapInArrow(prefixes, "tok long, node long, n int, place int")
+    met = settle(keyed.repartition("tok").sortWithinPartitions("tok", "n", "node").mapInArrow(meet, "tok long, a long, b long, n int, place int"), "met")
+    near = similar(met.filter("tok IS NULL").select("a", "b").distinct())
+    roots = components(near).withColumnRenamed("node", "_n")
+    rest = met.filter("tok IS NOT NULL").select("tok", "a", "n", "place").distinct().join(roots, F.col("a") == F.col("_n"), "left").select("tok", "a", "n", "place", F.coalesce("root", "a").alias("root"))
+    rest = settle(rest, "rest")
+    mixed = rest.groupBy("tok").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("tok")
+    rest = rest.join(mixed, "tok", "left_semi")
+    x, y = rest.alias("x"), rest.alias("y")
+    apart = x.join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("x.root") < F.col("y.root")) & _may_reach(similarity, F.col("x.n"), F.col("y.n"), F.col("x.place"), F.col("y.place")))
+    return near.union(similar(apart.select(F.least("x.a", "y.a").alias("a"), F.greatest("x.a", "y.a").alias("b")).distinct()))
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8) -> DataFrame:
     """``docs`` without near copies: of each group the row with the smallest id stays.
 
-    Candidates are texts whose 64-bit SimHashes over distinct words differ in at most ``radius`` bits. They are
-    verified by a second SimHash, of ``64 * lanes`` bits over distinct shingles of ``size`` words, whose
-    differing bits estimate the Jaccard similarity. Texts of equal words are one node whatever their spacing;
+    Two texts are near copies if the Jaccard similarity of their distinct shingles of ``size`` words is at least
+    ``similarity``; a group is what such pairs join. Texts of equal words are one node whatever their spacing;
     of rows that repeat an id with such texts one stays. Texts without words are one group, null ids sort last.
     """
     spaced = F.trim(F.regexp_replace(ascii_lower(F.coalesce(F.col(text_col), F.lit(""))), SPACE, " "))
     whole = docs.withColumn("_node", F.xxhash64(spaced))
-    given = whole.select(F.col(id_col).alias("id"), F.col("_node").alias("node"), F.col(text_col).cast("binary").alias("text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words = [byte_words(t.as_py()) for t in batch.column("text")]
-            fp = np.array([fingerprint(list(dict.fromkeys(w)), 1) for w in words], np.uint64).view(np.int64)
-            sig = [np.array(similarity_signature(w, size, lanes), np.uint64).view(np.int64).tolist() for w in words]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("node"), pa.array(fp), pa.array(sig, pa.list_(pa.int64()))], ["id", "node", "fp", "sig"])
-
-    kind = given.schema["id"].dataType.simpleString()
-    first_id = F.min(F.struct(F.col("id").isNull().alias("none"), "id"))
-    signed = given.mapInArrow(run, f"id {kind}, node long, fp long, sig array<long>").groupBy("node").agg(first_id.alias("least"), F.min("fp").alias("fp"), F.min("sig").alias("sig"))
-    signed = settle(signed, "signed")
-    close = components(links(signed.select("node", "fp", "sig"), radius, jaccard_radius(similarity, BITS * lanes)))
-    rooted = signed.join(close.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left").select("node", "least", F.coalesce("root", "node").alias("root"))
+    first_id = F.min(F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id")))
+    least = settle(whole.groupBy(F.col("_node").alias("node")).agg(first_id.alias("least")), "least")
+    close = components(similar_links(whole.select(F.col("_node").alias("node"), F.col(text_col).cast("binary").alias("text")), size, similarity))
+    rooted = least.join(close.withColumnRenamed("node", "_n"), F.col("node") == F.col("_n"), "left").select("node", "least", F.coalesce("root", "node").alias("root"))
     kept = rooted.groupBy("root").agg(F.min(F.struct("least", "node")).alias("first")).select(F.col("first.least.id").alias("_id"), F.col("first.node").alias("_kept"))
     staying = whole.join(kept, (F.col("_node") == F.col("_kept")) & F.col(id_col).eqNullSafe(F.col("_id")))
     return staying.dropDuplicates(["_node", "_id"]).drop("_node", "_kept", "_id")

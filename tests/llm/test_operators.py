@@ -129,6 +129,30 @@ def test_near_copies_dropped(spark, odd, nothing):
     assert simhash.drop_near_copies(nothing).count() == 0
 
 
+@pytest.mark.parametrize("near,common", [(4, 8), (1, 2)])
+def test_near_copies_against_brute_force(spark, monkeypatch, near, common):
+    monkeypatch.setattr(simhash, "NEAR", near)
+    monkeypatch.setattr(simhash, "COMMON", common)
+    r, texts = random.Random(4), []
+    words = lambda n: [f"w{int(r.paretovariate(0.7))}x{r.randrange(4)}" for _ in range(n)]
+    for k in range(40):
+        base = [f"v{k}u{i}" for i in range(84)]  # 80 shingles; 20 more make the similarity 0.8, 21 more less
+        texts += [base, base + [f"e{k}u{i}" for i in range(20 + k % 2)]]
+        base = words(r.randint(20, 120))
+        texts.append(base)
+        for _ in range(2):
+            other = [w if r.random() > 0.025 else f"n{r.randrange(10**6)}" for w in base]
+            texts.append(other[r.randrange(4):])
+    hot = words(90)
+    texts += [[w if r.random() > 0.02 else f"n{r.randrange(10**6)}" for w in hot] for _ in range(40)]
+    sets = [set(simhash.shingles(" ".join(t).encode().split(), 5)) for t in texts]
+    pairs = [(a, b) for a in range(len(sets)) for b in range(a) if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    want = set(union_find(range(len(sets)), pairs).values())
+    df = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string").repartition(5)
+    assert {x.doc_id for x in simhash.drop_near_copies(df).collect()} == want
+
+
+
 # Quality rules
 
 
