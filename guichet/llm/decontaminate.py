@@ -14,8 +14,11 @@ from pyspark.sql import functions as F
 from .registry import query, table
 
 Q = 12
-#: Items are searched in pieces of this many bytes, each beginning half a piece after the one before.
-PIECE = 128
+#: Items are searched in long pieces, for passages with many edits, and in short ones, for excerpts; (bytes, step) of each.
+PIECE, SHORT = 128, 48
+PIECES = ((PIECE, PIECE // 2), (SHORT, 16))
+#: Any stretch of an item with this many bytes holds a whole short piece.
+EXCERPT = SHORT + 15
 #: Edits allowed for each byte of a piece.
 EDITS = 0.06
 #: Items with fewer bytes than this, white space squeezed, are too common to be evidence.
@@ -33,11 +36,11 @@ def squeezed(text: bytes | None) -> bytes:
 
 
 def pieces_of(item: bytes) -> list[tuple[int, bytes]]:
-    """Overlapping pieces that cover an item, the last one at its end."""
-    if len(item) <= PIECE:
-        return [(0, item)]
-    starts = [*range(0, len(item) - PIECE, PIECE // 2), len(item) - PIECE]
-    return [(s, item[s:s + PIECE]) for s in starts]
+    """Overlapping pieces of both sizes that cover an item, the last ones at its end; a shorter item is a piece."""
+    spans = set()
+    for size, step in PIECES:
+        spans |= {(s, s + size) for s in [*range(0, len(item) - size, step), len(item) - size]} if len(item) > size else {(0, len(item))}
+    return [(s, item[s:e]) for s, e in sorted(spans)]
 
 
 def codes_of(data: bytes) -> np.ndarray:
@@ -248,7 +251,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
     """(id, item, start, end, edits): for each row of ``docs`` and each benchmark item found in it, the stretch in code points.
 
     Both sides are compared in lower case with white space squeezed. An item is found where one of its pieces
-    aligns with the text within the edit budget; a stretch reaches from the first such piece to the last, and
+    aligns with the text within the edit budget, so also by any EXCERPT bytes of it; a stretch reaches from the first such piece to the last, and
     ``edits`` is the most that one of them needs. Repeated rows give repeated results; null, empty and short
     items and texts give none. The documents are read once for each block of the benchmark, without a shuffle.
     """

@@ -481,6 +481,26 @@ def test_edited_passages():
             assert (k in found) == exact, (k, share)
 
 
+def prose(r, least, most):
+    """Words of random syllables, from ``least`` to ``most`` bytes."""
+    syllable, size, out = ["ka", "to", "mi", "ren", "sol", "ba", "vu", "nel", "shi", "or"], r.randint(least, most), ""
+    while len(out) < size:
+        out += "".join(r.choice(syllable) for _ in range(r.randint(1, 4))) + " "
+    return decontaminate.squeezed(out[:size].encode())
+
+
+def test_excerpts_at_random_places():
+    r = random.Random(7)
+    items = [(k, prose(r, 66, 400)) for k in range(60)]
+    matcher = decontaminate.Matcher(decontaminate.Index.build(items))
+    for k, item in items:
+        at = r.randint(0, len(item) - 63)
+        whole = decontaminate.squeezed(prose(r, 100, 300) + b" " + item[at:at + 63] + b" " + prose(r, 100, 300))
+        assert k in {f[1] for f in matcher.search([whole])}, (k, at)
+        assert not matcher.search([prose(r, 500, 2_000)])
+
+
+
 # Secrets
 
 
