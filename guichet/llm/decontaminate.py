@@ -188,7 +188,7 @@ class Matcher:
         return best, begins, ends
 
     def search(self, texts: list[bytes]) -> list[tuple[int, object, int, int, int]]:
-        """(text, item, begin, end, edits) in squeezed bytes: each benchmark item's matched stretch of each text."""
+        """(text, item, begin, end, edits) in squeezed bytes: every occurrence of a benchmark item in a text."""
         owner, piece, first = [], [], []
         for k, data in enumerate(texts):
             p, f = self.bands(data)
@@ -198,19 +198,34 @@ class Matcher:
         if not owner:
             return []
         owner, piece, first = np.array(owner), np.concatenate(piece), np.concatenate(first)
-        spans: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
+        found: dict[tuple[int, object], list[tuple[int, int, int, int, int]]] = {}
         for s in range(0, len(owner), 2_000):
             cut = slice(s, s + 2_000)
             best, begin, end = self.align(texts, owner[cut], piece[cut], first[cut])
             for k in np.flatnonzero(best <= self.edits[piece[cut]]).tolist():
                 at = int(piece[cut][k])
-                spans.setdefault((int(owner[cut][k]), at), []).append((int(best[k]), int(begin[k]), int(end[k])))
-        merged: dict[tuple[int, object], list[int]] = {}
-        for (text, at), found in spans.items():
-            edits, begin, end = min(found)
-            entry = merged.setdefault((text, self.index.items[at]), [begin, end, edits])
-            entry[0], entry[1], entry[2] = min(entry[0], begin), max(entry[1], end), max(entry[2], edits)
-        return [(text, item, *v) for (text, item), v in merged.items()]
+                found.setdefault((int(owner[cut][k]), self.index.items[at]), []).append((int(begin[k] - self.index.starts[at]), at, int(best[k]), int(begin[k]), int(end[k])))
+        return [(text, item, *stretch) for (text, item), aligned in found.items() for stretch in self.occurrences(aligned)]
+
+    def occurrences(self, aligned: list[tuple[int, int, int, int, int]]) -> list[tuple[int, int, int]]:
+        """(begin, end, edits) of each occurrence of an item, from (diagonal, piece, edits, begin, end) of its alignments.
+
+        Alignments whose diagonals follow each other within the band are one occurrence, with the best of each piece
+        in it. An occurrence inside another, as an item that repeats itself makes them, is left out.
+        """
+        chains: list[dict[int, tuple[int, int, int]]] = []
+        last = None
+        for diagonal, at, edits, begin, end in sorted(aligned):
+            if last is None or diagonal - last > self.band:
+                chains.append({})
+            last = diagonal
+            chains[-1][at] = min(chains[-1].get(at, (edits, begin, end)), (edits, begin, end))
+        merged = [(min(v[1] for v in c.values()), max(v[2] for v in c.values()), max(v[0] for v in c.values())) for c in chains]
+        out: list[tuple[int, int, int]] = []
+        for begin, end, edits in sorted(merged, key=lambda m: (m[0], -m[1], m[2])):
+            if not out or end > out[-1][1]:
+                out.append((begin, end, edits))
+        return out
 
 
 def original_span(text: bytes, begin: int, end: int) -> tuple[int, int]:
@@ -248,11 +263,11 @@ def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str, pass_by
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", pass_bytes: int = PASS_BYTES) -> DataFrame:
-    """(id, item, start, end, edits): for each row of ``docs`` and each benchmark item found in it, the stretch in code points.
+    """(id, item, start, end, edits): for each row of ``docs``, every occurrence of a benchmark item, as a stretch in code points.
 
     Both sides are compared in lower case with white space squeezed. An item is found where one of its pieces
-    aligns with the text within the edit budget, so also by any EXCERPT bytes of it; a stretch reaches from the first such piece to the last, and
-    ``edits`` is the most that one of them needs. Repeated rows give repeated results; null, empty and short
+    aligns with the text within the edit budget, so also by any EXCERPT bytes of it; a stretch reaches from the first such piece of an occurrence to its
+    last, and ``edits`` is the most that one of them needs. Repeated rows give repeated results; null, empty and short
     items and texts give none. The documents are read once for each block of the benchmark, without a shuffle.
     """
     given = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
@@ -295,6 +310,6 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
 
 @query()
 def op9_qgram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every benchmark item found in a document."""
+    """Every occurrence of a benchmark item in a document."""
     found = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(F.col("id").alias("doc_id"), F.col("item").alias("item_id"), "start", "end", "edits")

@@ -501,6 +501,26 @@ def test_excerpts_at_random_places():
 
 
 
+def test_every_occurrence_is_a_row():
+    r = random.Random(8)
+    items = [(k, prose(r, 30, 400)) for k in range(40)]
+    matcher = decontaminate.Matcher(decontaminate.Index.build(items))
+    for k, item in items:
+        whole, want = prose(r, 80, 200), []
+        for _ in range(3):
+            want.append((0, k, len(whole) + 1, len(whole) + 1 + len(item), 0))
+            whole += b" " + item + b" " + prose(r, 80, 200)
+        assert sorted(matcher.search([whole])) == want
+    k, item = max(items, key=lambda x: len(x[1]))  # each copy has lost another half
+    half = len(item) // 2
+    parts = [prose(r, 100, 100), item[:half].strip(), prose(r, 300, 300), item[half:].strip(), prose(r, 100, 100)]
+    whole = b" ".join(parts)
+    clean = whole.index(parts[2]), whole.index(parts[2]) + len(parts[2])
+    found = sorted(matcher.search([whole]))
+    assert len(found) == 2 and found[0][3] <= clean[0] + 2 and found[1][2] >= clean[1] - 2
+
+
+
 # Secrets
 
 
