@@ -565,3 +565,11 @@ def test_network_finds_unlisted_keys(spark, odd, nothing):
     assert sum(found[k] > 0 for k in range(50)) >= 40 and sum(found[100 + k] > 0 for k in range(50)) <= 2
     assert secrets.scan(odd, net).count() == odd.count() and secrets.scan(nothing, net).count() == 0
     assert secrets.train(nothing).threshold == 1.0
+
+
+def test_threshold_keeps_recall_where_classes_overlap():
+    r = np.random.default_rng(4)
+    x, y = r.integers(2, 97, (600, secrets.WIDTH)).astype(np.uint8), (r.random(600) < 0.3).astype(float)
+    net = secrets.CharNet.fresh().calibrate(x, y, 0.95)
+    over = net.probability(x) >= net.threshold
+    assert over[y > 0].mean() >= 0.95 and net.recall == over[y > 0].mean() and net.precision == y[over].mean()
