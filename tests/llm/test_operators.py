@@ -567,6 +567,24 @@ def test_network_finds_unlisted_keys(spark, odd, nothing):
     assert secrets.train(nothing).threshold == 1.0
 
 
+def test_network_sees_keys_without_digits(spark):
+    assert secrets.candidates("ab qwErTyUi, QWERTYUIOPasdf x") == [(3, 11), (13, 27)]
+    r = random.Random(7)
+    sign = lambda signs, n: "".join(r.choice(signs) for _ in range(n))
+    words = lambda: " ".join(sign("abcdefgilmnorstu", r.randint(2, 14)) for _ in range(12))
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    texts = []
+    for _ in range(400):
+        texts.append(f"{words()} token = \"{sign(letters + '0123456789', r.randint(16, 40))}\" {words()}")
+        texts.append(f"{words()} {sign('abcdeilnorst', 6)}.{r.randint(10, 99)}@mail{r.randint(1, 9)}.example.com {words()} 2024-{r.randint(1, 12):02}-report")
+    net = secrets.train(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert net.recall >= 0.95
+    probe = [(k, f"{words()} {sign(letters, 20)} {words()}") for k in range(50)] + [(100 + k, words()) for k in range(50)]
+    found = {x.id: len(x.added) for x in secrets.scan(spark.createDataFrame(probe, "doc_id long, text string"), net).collect()}
+    assert sum(found[k] > 0 for k in range(50)) >= 40 and sum(found[100 + k] > 0 for k in range(50)) <= 5
+
+
+
 def test_threshold_keeps_recall_where_classes_overlap():
     r = np.random.default_rng(4)
     x, y = r.integers(2, 97, (600, secrets.WIDTH)).astype(np.uint8), (r.random(600) < 0.3).astype(float)
