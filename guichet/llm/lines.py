@@ -11,6 +11,8 @@ from .registry import query, table
 
 #: A line is boilerplate on a host if more distinct texts hold it than both of these allow.
 MIN_DOCS, MAX_SHARE = 20, 0.01
+#: When documents are cleaned, a line that more distinct texts of a host hold than this is boilerplate whatever their share.
+MANY_DOCS = 1_000
 #: A text fails the base rules with fewer words than this.
 MIN_WORDS = 10
 #: A document is depleted if fewer words, or a smaller share of its words, than this stay.
@@ -65,7 +67,7 @@ def base_metrics(docs: DataFrame, keep: list[str], text_col: str) -> DataFrame:
 
 
 def line_verdicts(docs: DataFrame, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text",
-                  min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, left_words: int = LEFT_WORDS, left_share: float = LEFT_SHARE) -> tuple[DataFrame, DataFrame]:
+                  min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, left_words: int = LEFT_WORDS, left_share: float = LEFT_SHARE, many_docs: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Quality verdicts and the lines to remove.
 
     The first table has, for each row, id, h (host), k1 and k2 (text), COUNTS, base_failed, words_left and kept.
@@ -73,7 +75,7 @@ def line_verdicts(docs: DataFrame, id_col: str = "doc_id", host_col: str = "sour
 
     Lines are hashed in lower case with single spaces. Among the texts that pass the base rules, each host's
     distinct texts that hold a line are counted, copies as one. A line that more than ``min_docs`` texts and
-    ``max_share`` of the host's texts hold is removed, but stays in the text with the host's smallest id among
+    ``max_share`` of the host's texts hold, or more than ``many_docs`` texts if that is given, is removed, but stays in the text with the host's smallest id among
     them, so that the first of a group of copies is whole. A text is kept if at least ``left_words`` words and
     ``left_share`` of its words stay. Equal texts of a host, repeated rows among them, get one verdict; null hosts
     are one host; null ids sort first.
@@ -87,7 +89,7 @@ def line_verdicts(docs: DataFrame, id_col: str = "doc_id", host_col: str = "sour
     held = settle(held.join(texts, ["h", "k1", "k2"]).select("h", "k1", "k2", "line", (F.col("words") / F.col("copies")).cast("long").alias("words"), "least"), "lines")
     often = held.groupBy("h", "line").agg(F.count("*").alias("n"), F.min(F.struct("least", "k1", "k2")).alias("first")).filter(F.col("n") > min_docs)
     sizes = texts.groupBy("h").agg(F.count("*").alias("texts")).withColumnRenamed("h", "_h")
-    often = often.join(sizes, F.col("h") == F.col("_h")).filter(F.col("n") > max_share * F.col("texts"))
+    often = often.join(sizes, F.col("h") == F.col("_h")).filter((F.col("n") > max_share * F.col("texts")) | F.coalesce(F.col("n") > F.lit(many_docs), F.lit(False)))
     often = often.select(F.col("h").alias("_h"), F.col("line").alias("_line"), F.col("first.k1").alias("f1"), F.col("first.k2").alias("f2"))
     gone = held.join(often, (F.col("h") == F.col("_h")) & (F.col("line") == F.col("_line")) & ~((F.col("k1") == F.col("f1")) & (F.col("k2") == F.col("f2"))))
     gone = gone.select("_h", F.col("k1").alias("_k1"), F.col("k2").alias("_k2"), "line", "words")
@@ -100,8 +102,8 @@ def line_verdicts(docs: DataFrame, id_col: str = "doc_id", host_col: str = "sour
 
 
 def clean_documents(docs: DataFrame, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text", **limits) -> DataFrame:
-    """The kept rows of ``docs``, all columns, with boilerplate lines cut from ``text_col``. Arguments as for line_verdicts."""
-    verdicts, gone = line_verdicts(docs, id_col, host_col, text_col, **limits)
+    """The kept rows of ``docs``, all columns, with boilerplate lines cut from ``text_col``. Arguments as for line_verdicts; ``many_docs`` is MANY_DOCS."""
+    verdicts, gone = line_verdicts(docs, id_col, host_col, text_col, **{"many_docs": MANY_DOCS} | limits)
     texts = verdicts.filter("kept").select(F.col("h").alias("_vh"), F.col("k1").alias("_v1"), F.col("k2").alias("_v2")).distinct()
     cuts = gone.groupBy("_h", "_k1", "_k2").agg(F.collect_set("line").alias("_cut"))
     texts = texts.join(cuts, (F.col("_vh") == F.col("_h")) & (F.col("_v1") == F.col("_k1")) & (F.col("_v2") == F.col("_k2")), "left").select("_vh", "_v1", "_v2", "_cut")

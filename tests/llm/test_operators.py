@@ -182,6 +182,15 @@ def test_line_frequency_spares_the_first_copy(spark):
     assert cleaned[0] == texts[0][1] and cleaned[1] == texts[1][1].split("\n")[1] and 100 not in cleaned and cleaned[300] == f"{shared} and one more"
 
 
+def test_large_hosts_lose_lines_that_many_texts_hold(spark):
+    line = "all rights reserved by the host of this page"
+    df = spark.range(110_000).selectExpr("id AS doc_id", "'a' AS source", f"concat_ws(' ', transform(sequence(1, 12), k -> concat('w', id, 'x', k))) || if(id < 1050, '\n{line}', '') AS text")
+    held = lines.clean_documents(df).filter(F.col("text").contains(line))
+    assert [r.doc_id for r in held.select("doc_id").collect()] == [0]
+    assert lines.clean_documents(df, many_docs=None).filter(F.col("text").contains(line)).count() == 1050
+
+
+
 def test_clean_documents_keeps_columns(odd, nothing):
     out = lines.clean_documents(odd)
     assert out.columns == odd.columns
