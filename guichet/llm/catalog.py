@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import decontaminate, kdtree, lines, logbilinear, mixture, packing, periods, resample, secrets, simhash, spread, urls  # noqa: F401  (importing registers the queries)
+from . import blocks, decontaminate, kdtree, lines, logbilinear, mixture, packing, periods, resample, secrets, simhash, spread, urls  # noqa: F401  (importing registers the queries)
 from .registry import ORACLES, QUERIES
 
 QUERIES["pipeline"] = corpus_pipeline.run
