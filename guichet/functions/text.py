@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 import functools
+import re
 import sys
 import unicodedata
 from collections.abc import Callable, Iterable
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, functions as F
 from pyspark.sql.types import StringType
 
@@ -56,49 +57,34 @@ def word_count(c: Column | str) -> Column:
 
 
 @functools.lru_cache(maxsize=1)
-def _fold_table() -> tuple[str, str, str]:
-    """Characters that compatibility decomposition turns into one base character, after them the combining marks,
-    which have no target and are dropped, and a pattern for the characters that it turns into several."""
-    source, target, dropped, ranges = [], [], [], []
+def _combining_marks() -> re.Pattern:
+    """One or more characters that combine with the one before them."""
+    ranges: list[list[int]] = []
     for point in range(0x80, sys.maxunicode + 1):
-        ch = chr(point)
-        if unicodedata.combining(ch):
-            dropped.append(ch)
-            continue
-        decomposed = unicodedata.normalize("NFKD", ch)
-        if decomposed == ch:
-            continue
-        base = "".join(x for x in decomposed if not unicodedata.combining(x))
-        if len(base) == 1:
-            source.append(ch)
-            target.append(base)
-        elif ranges and ranges[-1][1] == point - 1:
-            ranges[-1][1] = point
-        else:
-            ranges.append([point, point])
-    several = "".join(f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in ranges)
-    return "".join(source + dropped), "".join(target), f"[{several}]"
+        if unicodedata.combining(chr(point)):
+            if ranges and ranges[-1][1] == point - 1:
+                ranges[-1][1] = point
+            else:
+                ranges.append([point, point])
+    return re.compile("[" + "".join(f"{chr(a)}-{chr(b)}" for a, b in ranges) + "]+")
 
 
-@functools.lru_cache(maxsize=1)
-def _combining_marks() -> dict[int, None]:
-    return dict.fromkeys(c for c in range(sys.maxunicode + 1) if unicodedata.combining(chr(c)))
+def _folded(text: str | None) -> str | None:
+    return None if text is None else _combining_marks().sub("", unicodedata.normalize("NFKD", text))
 
 
-@F.pandas_udf(StringType())
-def _fold_several(texts: pd.Series) -> pd.Series:
-    return texts.str.normalize("NFKD").str.translate(_combining_marks())
+@F.arrow_udf(StringType())
+def _fold(texts: pa.Array) -> pa.Array:
+    return pa.array([_folded(t) for t in texts.to_pylist()], pa.string())
 
 
 def fold_accents(c: Column | str) -> Column:
     """Decompose all compatibility characters (accents, ligatures, fractions, syllables) and drop the combining marks.
 
-    ``translate`` does it where each character becomes one; only texts with a character that becomes several are
-    sent to an Arrow batch, others travel as nulls.
+    Only texts with a character beyond ASCII travel to an Arrow batch, the others as nulls.
     """
-    source, target, several = _fold_table()
     text = as_col(c)
-    return F.coalesce(_fold_several(F.when(text.rlike(several), text)), F.translate(text, source, target))
+    return F.coalesce(_fold(F.when(F.octet_length(text) != F.length(text), text)), text)
 
 
 def tokens(c: Column | str, fold: bool = True) -> Column:

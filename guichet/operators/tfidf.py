@@ -56,19 +56,17 @@ def terms_stage(config: TfidfConfig, text: str = "text_full", out: str = "terms"
 def term_statistics(df: DataFrame, terms: str = "terms", fold: str | None = None, k: int = 0) -> DataFrame:
     """Documents (``df``) and occurrences (``cf``) per term.
 
-    Terms are sorted inside their document and explode once; a term that differs from the one before
-    counts for ``df``. One aggregation combines before its shuffle. With ``fold`` the counts inside every
-    fold come out of the same pass, as ``df_i`` and ``cf_i``.
+    Each document gives its distinct terms and all its terms, told apart by ``__all``, in one pass over its n-grams;
+    no function runs per term but the aggregation, which combines before its one shuffle. With ``fold`` the counts
+    inside every fold come out of the same pass, as ``df_i`` and ``cf_i``.
     """
     keep = [fold] if fold else []
-    in_order = df.select(*keep, F.array_sort(terms).alias("__terms"))
-    before = F.concat(F.array(F.lit(None).cast("string")), "__terms")
-    marked = F.zip_with("__terms", F.slice(before, F.lit(1), F.size("__terms")), lambda t, b: F.struct(t.alias("term"), (~t.eqNullSafe(b)).alias("first")))
-    each = in_order.select(*keep, F.explode(marked).alias("__t")).select(*keep, "__t.term", "__t.first")
-    aggs = [F.count_if("first").alias("df"), F.count("*").alias("cf")]
+    both = df.select(*keep, F.posexplode(F.array(F.array_distinct(terms), F.col(terms))).alias("__all", "__terms"))
+    each = both.select(*keep, (F.col("__all") == 0).alias("first"), F.explode("__terms").alias("term"))
+    aggs = [F.count_if("first").alias("df"), F.count_if(~F.col("first")).alias("cf")]
     for i in range(k):
         here = F.col(fold) == i
-        aggs += [F.count_if(F.col("first") & here).alias(f"df_{i}"), F.count_if(here).alias(f"cf_{i}")]
+        aggs += [F.count_if(F.col("first") & here).alias(f"df_{i}"), F.count_if(~F.col("first") & here).alias(f"cf_{i}")]
     return each.groupBy("term").agg(*aggs)
 
 
