@@ -1,8 +1,8 @@
 """Per-query top-k search over dense vectors and TF-IDF vectors.
 
-A query batch whose size has been checked travels to the documents: each task scores
-its own documents and hands on at most k rows per query, so nothing is shuffled but
-the candidates. A larger batch takes an exact distributed path instead.
+TF-IDF search reads an inverted index. Dense search is exact: a query batch whose size has been
+checked travels to the documents, where each task hands on at most k rows per query; a larger batch
+takes an exact distributed path instead. For an approximate one over cells see ``cells``.
 """
 
 from __future__ import annotations
@@ -17,13 +17,14 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from ..functions.vectors import RANK_DIGITS
+from ..session import settle
+from .inverted import InvertedIndex, inverted_index, inverted_search, with_zero_hits
 from .tfidf import TfidfModel
 
 MAX_QUERIES = 10_000  # queries one task holds at a time
 MAX_QUERY_BYTES = 128 << 20
 DOCS_PER_GROUP = 20_000
-CELLS = 4_000_000  # score cells or products a kernel holds at a time
-DENSE_TERMS = 4_096  # vocabularies up to this size are scored by matrix product
+CELLS = 4_000_000  # score cells a kernel holds at a time
 
 
 # --- kernels: (documents of one batch, queries) -> scores, higher is better -----------------
@@ -37,29 +38,6 @@ def dense_scores(docs: np.ndarray, queries: np.ndarray, metric: str) -> np.ndarr
         return np.where(norms == 0, 0.0, np.divide(dots, norms, out=np.full_like(dots, np.nan), where=norms > 0))
 
 
-def sparse_scores(indices: np.ndarray, values: np.ndarray, lengths: np.ndarray, queries: np.ndarray) -> np.ndarray:
-    """Dot products of unit sparse documents, given as concatenated entries, with dense queries."""
-    terms, ends = queries.shape[1], np.cumsum(lengths)
-    scores = np.zeros((len(queries), len(lengths)))
-    if terms <= DENSE_TERMS:
-        rows = np.repeat(np.arange(len(lengths)), lengths)
-        step = max(1, CELLS // terms)
-        for start in range(0, len(lengths), step):
-            stop = min(start + step, len(lengths))
-            entries = slice(ends[start] - lengths[start], ends[stop - 1])
-            block = np.zeros((stop - start, terms))
-            block[rows[entries] - start, indices[entries]] = values[entries]
-            scores[:, start:stop] = queries @ block.T
-        return scores
-    filled = np.flatnonzero(lengths)
-    if len(filled):
-        starts = (ends - lengths)[filled]
-        step = max(1, CELLS // len(indices))
-        for q in range(0, len(queries), step):
-            scores[q:q + step, filled] = np.add.reduceat(queries[q:q + step][:, indices] * values, starts, axis=1)
-    return scores
-
-
 def comparable(scores: np.ndarray, metric: str) -> np.ndarray:
     """Scores without the noise of summation: cosines at a fixed number of digits, distances at as many significant ones."""
     if metric != "l2sq":
@@ -205,46 +183,21 @@ def index_vectors(model: TfidfModel, df: DataFrame, id_col: str = "id") -> DataF
     return model.transform(df).select(F.col(id_col).alias("id"), v["indices"].alias("indices"), v["values"].alias("weights"))
 
 
-def tfidf_search(queries: DataFrame, model: TfidfModel, vectors: DataFrame, k: int = 3, query_id: str = "query_id", query_text: str = "text",
+def tfidf_search(queries: DataFrame, model: TfidfModel, vectors: DataFrame | InvertedIndex, k: int = 3, query_id: str = "query_id", query_text: str = "text",
                  fill_zero: bool = True) -> DataFrame:
-    """(query_id, id, rank, similarity, distance) by cosine over the index.
+    """(query_id, id, rank, similarity, distance) by cosine over the index, which is inverted first if it is not.
 
-    With ``fill_zero`` a query with fewer than k matching documents is filled up with
-    documents at similarity 0, lowest id first.
+    Postings that can't reach a query's first k are not read; no query meets documents without a term of it. With
+    ``fill_zero`` a query with fewer than k matching documents is filled up with documents at similarity 0,
+    lowest id first. The rows of one query id are one query.
     """
     text_col = model.stages[0].getInputCol()
-    q = index_vectors(model, queries.select(F.col(query_id).alias("id"), F.col(query_text).alias(text_col)))
-    d = vectors.select("id", "indices", "weights")
-    schema = _hit_schema(queries, query_id, d, "id")
-    size = model.size
-
-    def dense_queries(indices, weights) -> np.ndarray:
-        matrix = np.zeros((len(indices), size))
-        for row, i, w in zip(matrix, indices, weights):
-            row[i] = w
-        return matrix
-
-    rows = _small_batch(q, 8 * size)
-    if rows is not None:
-        matrix = dense_queries([r["indices"] for r in rows], [r["weights"] for r in rows])
-
-        def score(batch: pa.RecordBatch) -> np.ndarray:
-            idx, w = batch.column(1), batch.column(2)
-            lengths = np.diff(idx.offsets.to_numpy(zero_copy_only=False))
-            return sparse_scores(idx.flatten().to_numpy(zero_copy_only=False), w.flatten().to_numpy(zero_copy_only=False), lengths, matrix)
-
-        candidates = d.mapInArrow(_search_task(score, [r["id"] for r in rows], k, schema), schema)
-    else:
-        def meeting(a: pd.DataFrame, b: pd.DataFrame) -> np.ndarray:
-            lengths = b["indices"].str.len().to_numpy()
-            return sparse_scores(np.concatenate(b["indices"].to_numpy()), np.concatenate(b["weights"].to_numpy()), lengths,
-                                 dense_queries(a["indices"], a["weights"]))
-
-        candidates = _block_search(q, d, "id", "id", k, schema, meeting)
-    if not fill_zero:
-        candidates = candidates.filter("score > 0")
-    return best_per_query(candidates, k).select(
-        "query_id", "id", "rank", F.col("score").alias("similarity"), (1 - F.col("score")).alias("distance"))
+    index = vectors if isinstance(vectors, InvertedIndex) else inverted_index(vectors)
+    q = settle(index_vectors(model, queries.select(F.col(query_id).alias("id"), F.col(query_text).alias(text_col))).withColumnRenamed("id", "query_id"), "queries")
+    hits = inverted_search(q, index, k)
+    if fill_zero:
+        hits = with_zero_hits(settle(hits, "hits"), q, index, k)
+    return hits.select("query_id", "id", "rank", F.col("score").alias("similarity"), (1 - F.col("score")).alias("distance"))
 
 
 def postings(vectors: DataFrame) -> DataFrame:

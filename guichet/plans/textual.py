@@ -153,7 +153,7 @@ def ticket_index(spark, sf) -> stores.TfidfIndex:
 def ticket_hits(spark, sf):
     index = ticket_index(spark, sf)
     asked = table(spark, sf, "benchmark")
-    return built_once(spark, sf, "ticket_hits", lambda: settle(R.tfidf_search(asked, index.model, index.vectors, 3, "item_id", "text")))
+    return built_once(spark, sf, "ticket_hits", lambda: settle(R.tfidf_search(asked, index.model, index.inverted, 3, "item_id", "text")))
 
 
 @query(f"{_INDEX} SELECT id, term, round(w, 6) AS weight FROM docs")
@@ -172,10 +172,27 @@ def index_build_tfidf(spark, sf):
 @query(f"{_SEARCH} SELECT query_id, id, rank, round(s, 6) AS similarity, round(1 - s, 6) AS distance FROM hits")
 def tfidf_search(spark, sf):
     index = ticket_index(spark, sf)
-    return R.tfidf_search(table(spark, sf, "benchmark"), index.model, index.vectors, 3, "item_id", "text").select(
+    return R.tfidf_search(table(spark, sf, "benchmark"), index.model, index.inverted, 3, "item_id", "text").select(
         "query_id", "id", "rank", *r6("similarity", "distance"))
 
 
+_TURNS = f"""{_INDEX}, asked_turns AS (SELECT conv_id || '/' || turn AS query_id, text FROM conversations),
+  {sql_terms('asked_turns', 'query_id', 'text', False, 'q')}, {sql_weights('qtf', 'asked', False)},
+  sims AS (SELECT q.id AS query_id, d.id, round(sum(q.w * d.w), 9) AS s FROM asked q JOIN docs d ON q.term = d.term GROUP BY 1, 2),
+  hits AS (SELECT * FROM (SELECT query_id, id, s, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, id) AS rank FROM sims WHERE s > 0) WHERE rank <= 5)"""
+
+
+def asked_turns(spark, sf):
+    return table(spark, sf, "conversations").select(F.concat_ws("/", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("query_id"), "text")
+
+
+@query(f"{_TURNS} SELECT query_id, id, rank, round(s, 6) AS similarity FROM hits")
+def tfidf_search_turns(spark, sf):
+    """A batch that grows with its table: every turn of every conversation, without documents at similarity 0."""
+    index = ticket_index(spark, sf)
+    return R.tfidf_search(asked_turns(spark, sf), index.model, index.inverted, 5, fill_zero=False).select("query_id", "id", "rank", *r6("similarity"))
+
+
 @query(f"""{_SEARCH} SELECT h.query_id, h.rank, h.id, round(h.s, 6) AS similarity, c.categorie, c.urgence, coalesce(c.type_ticket, 'N/A') AS type_ticket,
   array_to_string(list_slice(string_split(c.chunk, chr(10)), 1, 4), chr(10)) AS head FROM hits h JOIN chunks c ON h.id = c.id""")
 def search_report(spark, sf):
@@ -314,7 +331,7 @@ def ask_fallback(spark, sf):
     index = ticket_index(spark, sf)
     asked = table(spark, sf, "conversations").filter("role = 'user'").select(
         F.concat_ws("/", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("query_id"), F.col("text").alias("question"))
-    hits = R.tfidf_search(asked, index.model, index.vectors, 3, "query_id", "question", fill_zero=False)
+    hits = R.tfidf_search(asked, index.model, index.inverted, 3, "query_id", "question", fill_zero=False)
     contexts = A.context_per_query(R.attach_documents(hits, index.chunks), "chunk")
     return A.ask(asked, contexts).select("query_id", "answer", "status")
 

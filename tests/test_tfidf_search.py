@@ -77,17 +77,6 @@ def test_search_finds_the_right_note(spark, corpus):
     assert only.filter("query_id = 'none'").count() == 0 and only.filter("similarity <= 0").count() == 0
 
 
-@pytest.mark.parametrize("fill_zero", [True, False])
-def test_large_query_batches_are_searched_in_blocks_and_agree(spark, corpus, monkeypatch, fill_zero):
-    index = stores.build_tfidf_index(corpus, W.INDEX_TFIDF, "text")
-    asked = corpus.select(F.col("id").alias("query_id"), F.concat(F.lit("le "), F.substring("text", 1, 30)).alias("text"))
-    key = lambda df: sorted((r.query_id, r["rank"], r.id, r.similarity) for r in df.collect())
-    small = key(R.tfidf_search(asked, index.model, index.vectors, 4, fill_zero=fill_zero))
-    monkeypatch.setattr(R, "MAX_QUERIES", 2)
-    monkeypatch.setattr(R, "DOCS_PER_GROUP", 2)
-    assert key(R.tfidf_search(asked, index.model, index.vectors, 4, fill_zero=fill_zero)) == small
-
-
 def vectors(spark, n, dim, seed, name):
     x = np.random.default_rng(seed).integers(-3, 4, (n, dim)).astype(float)
     x[0] = 0
@@ -182,18 +171,3 @@ def test_embedding_hook_and_dense_store(spark, corpus, tmp_path):
     assert {(r.query_id, r.id) for r in best} == {(r.id, r.id) for r in corpus.collect()}
     with pytest.raises(ValueError, match="letters"):
         stores.load_dense_index(spark, path, "other")
-
-
-def test_sparse_scores_by_product_and_by_entry_agree(monkeypatch):
-    rng = np.random.default_rng(0)
-    lengths = np.array([0, 3, 1, 0, 5, 2, 0])
-    indices = np.concatenate([rng.choice(20, n, replace=False) for n in lengths])
-    values, queries = rng.random(lengths.sum()), rng.random((6, 20))
-    want = np.zeros((6, len(lengths)))
-    for j, (end, n) in enumerate(zip(np.cumsum(lengths), lengths)):
-        want[:, j] = queries[:, indices[end - n:end]] @ values[end - n:end]
-    for cells in (10, 60, 10_000):
-        monkeypatch.setattr(R, "CELLS", cells)
-        for dense in (0, 100):
-            monkeypatch.setattr(R, "DENSE_TERMS", dense)
-            assert np.allclose(R.sparse_scores(indices, values, lengths, queries), want)
