@@ -7,7 +7,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from ..functions import text as T, vectors as V
-from ..operators import answers as A, evaluation as E, features as X, models as M, prepare as P, search as R, tfidf as W
+from ..operators import answers as A, cells as C, evaluation as E, features as X, models as M, prepare as P, search as R, tfidf as W
 from ..session import fresh_path, settle
 from ..sources import stores
 from .registry import built_once, query
@@ -235,6 +235,30 @@ def dense_search_l2(spark, sf):
     return R.dense_search(centres(spark, sf), _vectors(spark, sf), 2, "l2sq").select("query_id", "id", "rank", *r6("distance"))
 
 
+def _tuned_cells(spark, sf):
+    return built_once(spark, sf, "cells", lambda: C.tune_probes(C.build_cells(_vectors(spark, sf))))
+
+
+def _every_fiftieth(spark, sf):
+    return _vectors(spark, sf).filter("id % 50 = 0").withColumnRenamed("id", "query_id")
+
+
+@query()
+def dense_search_cells(spark, sf):
+    """The ten nearest rows of every fiftieth vector by the approximate index; no SQL, for its cells are fitted."""
+    return C.cell_search(_every_fiftieth(spark, sf), _tuned_cells(spark, sf), 10).select("query_id", "id", "rank", *r6("similarity", "distance"))
+
+
+@query("""WITH q AS (SELECT vec_id, embedding::double[] AS v FROM embeddings WHERE vec_id % 50 = 0)
+  SELECT count(*) AS n_queries, 10 * count(*) AS n_exact, true AS recall_of_nine_tenths FROM q""")
+def dense_cells_recall(spark, sf):
+    """Whether the approximate index finds nine tenths of what the exact search does."""
+    q = _every_fiftieth(spark, sf)
+    exact = settle(R.dense_search(q, _vectors(spark, sf), 10), "exact")
+    found = C.recall(C.cell_search(q, _tuned_cells(spark, sf), 10), exact)
+    return exact.agg(F.count_distinct("query_id").alias("n_queries"), F.count("*").alias("n_exact")).withColumn("recall_of_nine_tenths", F.lit(found >= 0.9))
+
+
 @query(f"""{_CENTRES}, own AS (SELECT e.vec_id, e.embedding::double[] AS a, c.v AS b FROM embeddings e JOIN centres c ON e.label = c.query_id)
   SELECT vec_id, round(list_dot_product(a, b), 6) AS dot, round(sqrt(list_dot_product(a, a)), 6) AS norm,
     CASE WHEN list_dot_product(a, a) > 0 AND list_dot_product(b, b) > 0 THEN round(list_dot_product(a, b) / (sqrt(list_dot_product(a, a)) * sqrt(list_dot_product(b, b))), 6) ELSE 0 END AS cosine,
