@@ -111,9 +111,11 @@ def feature_vectors(spark, sf):
     rows = [(m, b["text"], b["numeric"], b["one_hot"], b["total"]) for m, b in run.cascade.feature_blocks.items()]
     blocks = spark.createDataFrame(rows, "model string, text long, numeric long, one_hot long, total long")
     used = run.scored.filter("split = 'train'")
-    labels = used.agg(F.count("*").alias("train_rows"), *[F.count_distinct(c).alias(c) for c in ("urgence_pred", "categorie_pred", "type_ticket_pred")])
+    typed = F.col("type_ticket").isNotNull()  # the type model is fitted on these rows only
+    labels = used.agg(F.count("*").alias("train_rows"), *[F.count_distinct(c).alias(c) for c in ("urgence_pred", "categorie_pred", "type_ticket_pred")],
+                      (F.count_distinct(F.when(typed, F.col("urgence_pred"))) + F.count_distinct(F.when(typed, F.col("categorie_pred")))).alias("typed_labels"))
     u, c, t = F.col("urgence_pred"), F.col("categorie_pred"), F.col("type_ticket_pred")
-    expected = F.when(F.col("model") == "urgency", 0).when(F.col("model") == "category", u).when(F.col("model") == "type", u + c).otherwise(u + c + t)
+    expected = F.when(F.col("model") == "urgency", 0).when(F.col("model") == "category", u).when(F.col("model") == "type", F.col("typed_labels")).otherwise(u + c + t)
     return blocks.join(F.broadcast(labels)).select(  # one row
         "model", "text", "numeric", (F.col("one_hot") == expected).alias("one_hot_fits"),
         (F.col("total") == F.col("text") + F.col("numeric") + F.col("one_hot")).alias("adds_up"), "train_rows")
