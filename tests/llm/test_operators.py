@@ -597,6 +597,40 @@ def test_network_sees_keys_without_digits(spark):
 def test_threshold_keeps_recall_where_classes_overlap():
     r = np.random.default_rng(4)
     x, y = r.integers(2, 97, (600, secrets.WIDTH)).astype(np.uint8), (r.random(600) < 0.3).astype(float)
-    net = secrets.CharNet.fresh().calibrate(x, y, 0.95)
-    over = net.probability(x) >= net.threshold
+    net = secrets.CharNet.fresh().calibrate(x, y, n := r.integers(8, secrets.SEEN + 1, 600), 0.95)
+    over = net.probability(net.rows(x, n)) >= net.threshold
     assert over[y > 0].mean() >= 0.95 and net.recall == over[y > 0].mean() and net.precision == y[over].mean()
+
+
+def test_windows_share_one_convolution(monkeypatch):
+    r = random.Random(5)
+    net = secrets.CharNet.fresh()
+    text = "".join(r.choice("abcdefgh01 =.") for _ in range(900)) + "k" * 130
+    coded = secrets.classes(text)
+    spans = [w for s, e in secrets.candidates(text) for w in secrets.windows(s, e)]
+    starts, lengths = (np.array(c) for c in zip(*spans, strict=True))
+    want = []
+    for s, n in spans:
+        seen = net.embed[coded[s:s + n + 2 * secrets.CONTEXT]]
+        places = [seen[p:p + net.width].ravel() @ net.kernel for p in range(len(seen) - net.width + 1)]
+        want.append(np.maximum(np.max(places, axis=0) + net.bias, 0) @ net.out + net.shift)
+    for places in (100, 1 << 16):
+        monkeypatch.setattr(secrets, "PLACES", places)
+        assert np.allclose(net.raw(coded, starts, lengths), want, atol=1e-4)
+    assert np.allclose(net.rows(np.array([secrets.window_row(coded, *w) for w in spans]), lengths), want, atol=1e-4)
+
+
+def test_candidates_are_what_base_spans_leave():
+    r = random.Random(6)
+    for _ in range(500):
+        text = "".join(r.choice("aB3/ ") for _ in range(r.randrange(90)))
+        base = sorted((s := r.randrange(90), s + r.randrange(1, 12), "x") for _ in range(r.randrange(4)))
+        free = "".join(" " if any(s <= i < e for s, e, _ in base) else c for i, c in enumerate(text))
+        assert secrets.candidates(text, base) == secrets.candidates(free), (text, base)
+
+
+def test_a_text_with_very_many_findings_ends_soon(spark):
+    text = "token=abcdefgh12345 zzzzzzzz1 " * 40_000
+    net = secrets.CharNet.fresh()
+    rows = secrets.scan(spark.createDataFrame([(1, text)], "doc_id long, text string"), net).select(F.size("base").alias("n")).collect()
+    assert [r.n for r in rows] == [40_000]
