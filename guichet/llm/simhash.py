@@ -335,6 +335,21 @@ def _common_shingles(given: DataFrame, size: int) -> tuple[np.ndarray, np.ndarra
     return hashes[order], order + 1
 
 
+def parity_sketch(shingles: np.ndarray) -> tuple[int, bytes]:
+    """The size of a set, and a bit for each of at least twice as many slots (a power of two): whether an odd number of its members fall there."""
+    bits = 1 << max(8, (2 * len(shingles)).bit_length())
+    odd = np.bincount(shingles.astype(np.uint64) & np.uint64(bits - 1), minlength=bits) & 1 if len(shingles) else np.zeros(bits, int)
+    return len(shingles), np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def least_apart(a: bytes, b: bytes) -> int:
+    """How many members two sets differ in at least. Each changes one bit, so differing bits are no more; the longer sketch is folded to the shorter one."""
+    x, y = (np.frombuffer(s, np.uint8) for s in sorted((a, b), key=len))
+    while len(y) > len(x):
+        y = y[:len(y) // 2] ^ y[len(y) // 2:]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
 def similar_links(given: DataFrame, size: int, similarity: float) -> DataFrame:
     """(a, b): links between nodes whose distinct shingles have at least this Jaccard similarity, decided on the sets.
 
@@ -386,16 +401,31 @@ def similar_links(given: DataFrame, size: int, similarity: float) -> DataFrame:
                 found = [shingle_set(byte_words(t.as_py()), size).tolist() for t in whole.column("text")]
                 yield pa.RecordBatch.from_arrays([whole.column("node"), pa.array(found, pa.list_(pa.int64()))], ["node", "s"])
 
+    def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for whole in slices([batch], "text", 1 << 20):
+                found = [parity_sketch(shingle_set(byte_words(t.as_py()), size)) for t in whole.column("text")]
+                yield pa.RecordBatch.from_arrays([whole.column("node"), pa.array([n for n, _ in found], pa.int64()), pa.array([p for _, p in found], pa.binary())], ["node", "size", "parity"])
+
+    def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b, na, nb, pa_, pb = (batch.column(c).to_pylist() for c in ("a", "b", "na", "nb", "pa", "pb"))
+            stay = [least_apart(x, y) * (1 + similarity) <= (1 - similarity) * (m + n) + 1e-6 for x, y, m, n in zip(pa_, pb, na, nb, strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array([v for v, s in zip(c, stay, strict=True) if s], pa.int64()) for c in (a, b)], ["a", "b"])
+
     def similar(pairs: DataFrame) -> DataFrame:
-        """The pairs whose sets are similar."""
-        pairs = settle(pairs, "pairs")
-        needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        """The pairs whose sets are similar. Sketches first drop most of those that surely are not, then the sets decide."""
+        pairs = settle(pairs, "candidates")
+        side = lambda c: sketched.select(F.col("node").alias(c), F.col("size").alias(f"n{c}"), F.col("parity").alias(f"p{c}"))
+        pairs = settle(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "pa", "pb").mapInArrow(possible, "a long, b long"), "pairs")
+        needed = settle(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "needed")  # stored, so the planner knows its size
         texts = given.join(needed, "node", "left_semi").select("node", "text").dropDuplicates(["node"])
         held = settle(texts.mapInArrow(sets, "node long, s array<long>"), "sets")
         both = pairs.join(held.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a").join(held.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
         shared = F.size(F.array_intersect("sa", "sb"))
         return settle(both.filter(shared * (1 + similarity) >= similarity * (F.size("sa") + F.size("sb")) - 1e-6).select("a", "b"), "similar")
 
+    sketched = settle(given.mapInArrow(sketches, "node long, size long, parity binary").dropDuplicates(["node"]), "sketches")
     keyed = given.mapInArrow(prefixes, "tok long, node long, n int, place int")
     met = settle(keyed.repartition("tok").sortWithinPartitions("tok", "n", "node").mapInArrow(meet, "tok long, a long, b long, n int, place int"), "met")
     near = similar(met.filter("tok IS NULL").select("a", "b").distinct())

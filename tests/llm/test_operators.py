@@ -634,3 +634,18 @@ def test_a_text_with_very_many_findings_ends_soon(spark):
     net = secrets.CharNet.fresh()
     rows = secrets.scan(spark.createDataFrame([(1, text)], "doc_id long, text string"), net).select(F.size("base").alias("n")).collect()
     assert [r.n for r in rows] == [40_000]
+
+
+def test_parity_sketches_never_reject_similar_sets():
+    r = np.random.default_rng(8)
+    told = 0
+    for _ in range(300):
+        n, m, both = r.integers(0, 900, 3)
+        x = r.integers(-(1 << 63), (1 << 63) - 1, n + m + both)
+        a, b = np.unique(x[:n + both]), np.unique(x[n:])
+        apart = len(np.setxor1d(a, b))
+        (na, pa_), (nb, pb) = simhash.parity_sketch(a), simhash.parity_sketch(b)
+        assert (na, nb) == (len(a), len(b)) and simhash.least_apart(pa_, pb) <= apart
+        told += simhash.least_apart(pa_, pb) > (na + nb) / 9 + 1e-6
+        assert simhash.least_apart(pa_, pa_) == 0
+    assert told > 150
