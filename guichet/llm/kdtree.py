@@ -17,8 +17,8 @@ BINS, CLOSE = 1_024, 1e-4
 BROADCAST = 10_000
 #: Bytes of a leaf where nothing else is asked for.
 TARGET_BYTES = 256 << 20
-#: Equal texts stay together up to this share of a leaf; a larger group is split.
-GROUP_SHARE = 0.005
+#: Equal texts stay together up to this share of a leaf; a larger group would unbalance the leaves, and is split into parts of at most PART_SHARE of a leaf.
+GROUP_SHARE, PART_SHARE = 0.1, 0.005
 
 
 def text_code(value: Column) -> Column:
@@ -121,9 +121,9 @@ def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | No
     rows = settle(rows, "metadata")
     ends = rows.agg(F.count("*").alias("n"), F.sum("size").alias("bytes"), *[f(f"m{k}").alias(f"{n}{k}") for k in range(dims) for n, f in (("lo", F.min), ("hi", F.max))]).first()
     leaves = int(shards or max(1, -(-(ends.bytes or 0) // (target_bytes or TARGET_BYTES))))
-    limit = max(1, int(GROUP_SHARE * (ends.bytes or 0) / leaves))
+    leaf = (ends.bytes or 0) / leaves
     groups = rows.groupBy("k1", "k2").agg(F.sum("size").alias("together"), F.min(F.struct("id", *[f"m{k}" for k in range(dims)])).alias("first"))
-    parts = F.greatest(F.ceil(F.col("together") / limit), F.lit(1))
+    parts = F.when(F.col("together") > GROUP_SHARE * leaf, F.ceil(F.col("together") / max(1, int(PART_SHARE * leaf)))).otherwise(1)
     groups = groups.select(F.col("k1").alias("g1"), F.col("k2").alias("g2"), parts.alias("parts"), *[F.col(f"first.m{k}").alias(f"f{k}") for k in range(dims)])
     unit = F.when(F.col("parts") > 1, F.pmod(F.xxhash64(F.lit(23), "id"), F.col("parts"))).otherwise(0)
     joined = rows.join(groups, (F.col("k1") == F.col("g1")) & (F.col("k2") == F.col("g2"))).withColumn("unit", unit)

@@ -11,7 +11,7 @@ from .registry import query, table
 
 #: A line is boilerplate on a host if more distinct texts hold it than both of these allow.
 MIN_DOCS, MAX_SHARE = 20, 0.01
-#: When documents are cleaned, a line that more distinct texts of a host hold than this is boilerplate whatever their share.
+#: A line that more distinct texts of a host hold than this is boilerplate whatever their share.
 MANY_DOCS = 1_000
 #: A text fails the base rules with fewer words than this.
 MIN_WORDS = 10
@@ -67,7 +67,7 @@ def base_metrics(docs: DataFrame, keep: list[str], text_col: str) -> DataFrame:
 
 
 def line_verdicts(docs: DataFrame, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text",
-                  min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, left_words: int = LEFT_WORDS, left_share: float = LEFT_SHARE, many_docs: int | None = None) -> tuple[DataFrame, DataFrame]:
+                  min_docs: int = MIN_DOCS, max_share: float = MAX_SHARE, left_words: int = LEFT_WORDS, left_share: float = LEFT_SHARE, many_docs: int | None = MANY_DOCS) -> tuple[DataFrame, DataFrame]:
     """Quality verdicts and the lines to remove.
 
     The first table has, for each row, id, h (host), k1 and k2 (text), COUNTS, base_failed, words_left and kept.
@@ -75,7 +75,7 @@ def line_verdicts(docs: DataFrame, id_col: str = "doc_id", host_col: str = "sour
 
     Lines are hashed in lower case with single spaces. Among the texts that pass the base rules, each host's
     distinct texts that hold a line are counted, copies as one. A line that more than ``min_docs`` texts and
-    ``max_share`` of the host's texts hold, or more than ``many_docs`` texts if that is given, is removed, but stays in the text with the host's smallest id among
+    ``max_share`` of the host's texts hold, or more than ``many_docs`` texts unless that is None, is removed, but stays in the text with the host's smallest id among
     them, so that the first of a group of copies is whole. A text is kept if at least ``left_words`` words and
     ``left_share`` of its words stay. Equal texts of a host, repeated rows among them, get one verdict; null hosts
     are one host; null ids sort first.
@@ -102,8 +102,8 @@ def line_verdicts(docs: DataFrame, id_col: str = "doc_id", host_col: str = "sour
 
 
 def clean_documents(docs: DataFrame, id_col: str = "doc_id", host_col: str = "source", text_col: str = "text", **limits) -> DataFrame:
-    """The kept rows of ``docs``, all columns, with boilerplate lines cut from ``text_col``. Arguments as for line_verdicts; ``many_docs`` is MANY_DOCS."""
-    verdicts, gone = line_verdicts(docs, id_col, host_col, text_col, **{"many_docs": MANY_DOCS} | limits)
+    """The kept rows of ``docs``, all columns, with boilerplate lines cut from ``text_col``. Arguments as for line_verdicts."""
+    verdicts, gone = line_verdicts(docs, id_col, host_col, text_col, **limits)
     texts = verdicts.filter("kept").select(F.col("h").alias("_vh"), F.col("k1").alias("_v1"), F.col("k2").alias("_v2")).distinct()
     cuts = gone.groupBy("_h", "_k1", "_k2").agg(F.collect_set("line").alias("_cut"))
     texts = texts.join(cuts, (F.col("_vh") == F.col("_h")) & (F.col("_v1") == F.col("_k1")) & (F.col("_v2") == F.col("_k2")), "left").select("_vh", "_v1", "_v2", "_cut")
@@ -130,7 +130,7 @@ t AS (SELECT source, text, min(doc_id) AS least FROM f WHERE NOT base_failed GRO
 tl AS (SELECT source, text, least, trim(regexp_replace(translate(unnest(string_split(text, chr(10))), '{"ABCDEFGHIJKLMNOPQRSTUVWXYZ"}', '{"abcdefghijklmnopqrstuvwxyz"}'), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS l FROM t),
 h AS (SELECT source, text, least, l, sum(length(l) - length(replace(l, ' ', '')) + 1) AS words FROM tl WHERE l <> '' GROUP BY ALL),
 host AS (SELECT source, count(*) AS texts FROM t GROUP BY ALL),
-o AS (SELECT h.source, l, min(least) AS least FROM h JOIN host ON h.source IS NOT DISTINCT FROM host.source GROUP BY h.source, l, texts HAVING count(*) > {MIN_DOCS} AND count(*) > {MAX_SHARE} * texts),
+o AS (SELECT h.source, l, min(least) AS least FROM h JOIN host ON h.source IS NOT DISTINCT FROM host.source GROUP BY h.source, l, texts HAVING count(*) > {MIN_DOCS} AND (count(*) > {MAX_SHARE} * texts OR count(*) > {MANY_DOCS})),
 lost AS (SELECT h.source, text, sum(words) AS lost FROM h JOIN o ON h.source IS NOT DISTINCT FROM o.source AND h.l = o.l AND h.least <> o.least GROUP BY ALL)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
     NOT base_failed AND n_words - coalesce(lost, 0) >= {LEFT_WORDS} AND n_words - coalesce(lost, 0) >= {LEFT_SHARE} * n_words AS kept, (n_words - coalesce(lost, 0))::BIGINT AS words_left

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import settle
@@ -13,6 +13,8 @@ from .registry import query, table
 
 #: Words in a block, blocks in an output shard.
 BLOCK, SHARD = 64, 4_096
+#: Rounds of the index permutation, slots in a cell by which places find their source, and cells that one task lists at a time.
+ROUNDS, CELL, STRIDE = 48, 64, 65_536
 WEIGHTS, SHARE, MOST = (3, 1, 2), 1.5, 2.0
 
 
@@ -47,15 +49,70 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...], share: float, mos
     return found.select("source", "words", target.cast("double").alias("target"))
 
 
+def permuted(index: Column, n: Column, *key: str) -> Column:
+    """A keyed pseudorandom permutation of 0 to ``n`` - 1 at ``index``, computed in the row.
+
+    Each of ROUNDS rounds pairs every x with K - x modulo n for a keyed K, and a keyed bit of the pair swaps it or not
+    (swap-or-not shuffle). That is a bijection on any n, so no walk over a larger domain is needed.
+    """
+    def swap_or_not(x: Column, k: Column) -> Column:
+        other = F.pmod(F.pmod(F.xxhash64(F.lit(37), *key, k), n) - x, n)
+        return F.when(F.pmod(F.xxhash64(F.lit(41), *key, k, F.greatest(x, other)), F.lit(2)) == 1, other).otherwise(x)
+
+    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), index.cast("long"), swap_or_not)
+
+
+def draw_slots(sources: DataFrame, shard: int) -> DataFrame:
+    """(shard, place, s, slot): the source of every place of the output shards, and which of the source's slots it is.
+
+    ``sources`` has s and slots. All slots together fill shards of ``shard`` places, the last one maybe less. Each place
+    draws its source by a keyed uniform number, so a shard's counts are a multinomial draw by the sources' slots. A
+    source's slots are numbered through the shards. Where the draws of all shards exceed a source's total, a keyed choice
+    of them goes to sources that were drawn too seldom, so totals are exact: about the square root of all slots change.
+    """
+    spark = sources.sparkSession
+    upto = Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)  # one row a source
+    given = settle(sources.filter("slots > 0").select("s", "slots", F.coalesce(F.sum("slots").over(upto), F.lit(0)).alias("lo")), "shares")
+    total = given.agg(F.sum("slots")).first()[0] or 0
+    number = F.col("id")
+    places = spark.range(total).select(F.floor(number / shard).alias("shard"), F.pmod(number, F.lit(shard)).alias("place"))
+    places = places.withColumn("u", F.pmod(F.xxhash64(F.lit(19), "shard", "place"), F.lit(max(1, total))))
+    # A source's share of the numbers, cut at multiples of CELL, meets the draws by equality. A cell has CELL sources at most.
+    cells = given.select("s", "lo", (F.col("lo") + F.col("slots")).alias("hi"))
+    ends = [F.floor(F.col("lo") / CELL), F.floor((F.col("hi") - 1) / CELL)]
+    cells = cells.select("s", "lo", "hi", ends[1].alias("last"), F.explode(F.sequence(*ends, F.lit(STRIDE).cast("long"))).alias("start")).repartition("s", "start")
+    cells = cells.select("s", "lo", "hi", F.explode(F.sequence("start", F.least(F.col("start") + STRIDE - 1, F.col("last")))).alias("_cell"))
+    drawn = places.join(cells, F.floor(F.col("u") / CELL) == F.col("_cell")).filter("u >= lo AND u < hi").select("shard", "place", "s")
+    drawn = settle(drawn, "draws")
+    counts = drawn.groupBy("shard", "s").agg(F.count("*").alias("n"))
+    before = running_offset(counts, ["s"], ["shard"], "n", "before", max(1, -(-total // shard))).select(F.col("shard").alias("_shard"), F.col("s").alias("_s"), "before")
+    inside = F.row_number().over(Window.partitionBy("shard", "s").orderBy("place")) - 1  # a shard's places at most
+    numbered = drawn.withColumn("inside", inside).join(before, (F.col("shard") == F.col("_shard")) & (F.col("s") == F.col("_s")))
+    numbered = numbered.select("shard", "place", "s", (F.col("before") + F.col("inside")).alias("slot"))
+    taken = counts.groupBy("s").agg(F.sum("n").alias("n")).withColumnRenamed("s", "_s")
+    fill = settle(given.join(taken, F.col("s") == F.col("_s"), "left").select("s", "slots", F.coalesce("n", F.lit(0)).alias("n")), "fill")
+    numbered = numbered.join(fill.withColumnRenamed("s", "_s"), F.col("s") == F.col("_s")).drop("_s")
+    # The surplus of a source is spread over all its draws, so no shard is left with what others did not take.
+    spread = F.when(F.col("n") > F.col("slots"), permuted(F.col("slot"), F.col("n"), "s")).otherwise(F.col("slot"))
+    numbered = settle(numbered.withColumn("slot", spread).drop("n"), "numbered")
+    over = numbered.filter("slot >= slots").select("shard", "place", F.xxhash64(F.lit(43), "shard", "place").alias("mixed"), F.lit(1).cast("long").alias("one"))
+    over = running_offset(over, [], ["mixed", "shard", "place"], "one", "e", over.count())
+    short = fill.filter("n < slots")
+    short = short.select("s", "slots", "n", F.coalesce(F.sum(F.col("slots") - F.col("n")).over(upto), F.lit(0)).alias("first"))
+    short = short.select("s", "first", "n", F.explode(F.sequence("n", F.col("slots") - 1)).alias("slot")).select("s", "slot", (F.col("first") + F.col("slot") - F.col("n")).alias("_e"))
+    moved = over.join(short, F.col("e") == F.col("_e")).select("shard", "place", "s", "slot")
+    return numbered.filter("slot < slots").select("shard", "place", "s", "slot").unionByName(moved)
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", weights: tuple[int, ...] = WEIGHTS,
         share: float = SHARE, most: float = MOST, block: int = BLOCK, shard: int = SHARD) -> Mix:
     """Lay each source's words end to end, cut them into blocks of ``block`` words, and deal blocks to shards.
 
-    A source's slots are its target in blocks. Slot j of epoch t holds the block whose rank in a keyed pseudorandom
-    order of the source is j: each epoch is a permutation of all blocks, the last one cut short, so no block is used
-    more than ``most`` times rounded up. A pseudorandom order of all slots deals them to shards of ``shard`` slots,
-    so a shard's counts by source are a multinomial draw given the totals that the targets set. All orders come
-    from hashes of ids, texts and indices; reruns agree. A document that spans blocks has a piece in each.
+    A source's slots are its target in blocks. Every output shard of ``shard`` places draws multinomial counts of the
+    sources (see draw_slots). Slot j of a source is in epoch j div blocks and holds the block to which the epoch's
+    keyed permutation maps j mod blocks: each epoch uses every block once, the last one is cut short, so no block is used
+    more than ``most`` times rounded up. Blocks join their slots by index. All draws come from hashes of indices and
+    the layout from ids and texts; reruns agree. A document that spans blocks has a piece in each.
 
     Texts without words, null texts among them, have no pieces. A null source is a source. Repeated rows count each.
     """
@@ -76,16 +133,11 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
     pieces = laid.select("row", "s", "at", end.alias("end"), F.explode(spans).alias("block"))
     first = F.greatest(F.col("at"), F.col("block") * block)
     pieces = settle(pieces.select("row", "s", "block", (first - F.col("at")).alias("start"), (F.least(F.col("end"), (F.col("block") + 1) * block) - first).alias("words")), "pieces")
-    n_blocks = max(1, -(-(totals.words or 0) // block))
-    counts = sources.select(F.col("s").alias("_s"), "blocks", "slots")
-    index = pieces.select("s", "block").distinct().join(counts, F.col("s") == F.col("_s")).drop("_s")
-    epochs = F.sequence(F.lit(0).cast("long"), F.ceil(F.col("slots") / F.col("blocks")) - 1)
-    index = index.filter("slots > 0").withColumn("epoch", F.explode(epochs)).withColumn("mixed", F.xxhash64(F.lit(17), "s", "epoch", "block")).withColumn("one", F.lit(1).cast("long"))
-    ranked = running_offset(index, ["s", "epoch"], ["mixed", "block"], "one", "rank", n_blocks)
-    slots = ranked.withColumn("slot", F.col("epoch") * F.col("blocks") + F.col("rank")).filter("slot < slots").select("s", "epoch", "slot", "block", "one")
-    slots = slots.withColumn("mixed", F.xxhash64(F.lit(19), "s", "slot"))
-    dealt = running_offset(slots, [], ["mixed", "s", "slot"], "one", "place", 2 * n_blocks)
-    placed = dealt.select("s", "epoch", "slot", "block", F.floor(F.col("place") / shard).alias("shard"), F.pmod(F.col("place"), F.lit(shard)).alias("place"))
+    drawn = draw_slots(sources, shard)
+    counts = sources.select(F.col("s").alias("_s"), "blocks")
+    slots = drawn.join(counts, F.col("s") == F.col("_s")).withColumn("epoch", F.expr("slot div blocks"))
+    block_at = permuted(F.col("slot") % F.col("blocks"), F.col("blocks"), "s", "epoch")
+    placed = settle(slots.select("s", "epoch", "slot", block_at.alias("block"), "shard", "place"), "placed")
     return Mix(given, sources, pieces, placed)
 
 

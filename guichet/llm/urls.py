@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.feature import VectorAssembler
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import settle
@@ -16,6 +16,8 @@ RULES = (("block", "net/"), ("allow", "example.net/en/"), ("block", "example.com
 
 #: Labelled URLs that the trees are fitted on, those with the smallest hashes; suffix statistics use all of them.
 SAMPLE = 50_000
+#: Bits of a URL's hash by which the sample is cut before it is sorted.
+KEY_BITS = 16
 #: Labelled URLs that a suffix's block rate counts besides its own, at the rate of all.
 PRIOR = 5.0
 TREES, DEPTH = 20, 4
@@ -89,19 +91,38 @@ def with_suffixes(df: DataFrame, counts: dict[str, DataFrame], prior: float, own
     return df
 
 
+def url_sample(labelled: DataFrame, urls: int) -> DataFrame:
+    """At most ``urls`` URLs of ``labelled``, those with the least hashes ``key``: one row each, with n, how often it occurs.
+
+    A histogram of the first KEY_BITS bits of the distinct hashes gives the prefix where ``urls`` are reached, and only the hashes
+    of that prefix are sorted. Copies of a URL are combined before the shuffle, however many there are.
+    """
+    prefix = F.shiftright("key", 64 - KEY_BITS)
+    keys = settle(labelled.select("key").distinct(), "url-keys")
+    upto = F.sum("n").over(Window.orderBy("at").rowsBetween(Window.unboundedPreceding, 0))  # 2 ** KEY_BITS rows at most
+    past = keys.groupBy(prefix.alias("at")).agg(F.count("*").alias("n")).withColumn("upto", upto).filter(F.col("upto") > urls).orderBy("at").first()
+    chosen = labelled
+    if past:
+        left = urls - (past.upto - past.n)
+        edge = keys.filter(prefix == past.at).orderBy("key").offset(left).first().key
+        chosen = labelled.filter(F.col("key") < edge)
+    others = [c for c in labelled.columns if c != "key"]
+    return chosen.groupBy("key").agg(F.count("*").alias("n"), F.min(F.struct(*others)).alias("_one")).select("key", "n", "_one.*")
+
+
 def train(labelled: DataFrame, sample: int = SAMPLE) -> tuple[GBTClassificationModel | None, dict[str, DataFrame], float]:
     """Trees on ``labelled`` (LEXICAL, SUFFIXES, key long, label 1.0 for block), the suffix counts and the block rate.
 
-    The trees are fitted on at most ``sample`` rows; without both labels there are none.
+    The trees are fitted on at most ``sample`` distinct URLs, each weighing as often as it occurs; without both labels there are none.
     """
     counts = {s: settle(c, f"suffix-{s}") for s, c in suffix_counts(labelled).items()}
     n, blocked = labelled.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     prior = blocked / n if n else 0.0
     if not 0 < blocked < n:
         return None, counts, prior
-    chosen = settle(with_suffixes(labelled.orderBy("key", "url").limit(sample), counts, prior, own=True), "sample")
-    rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(chosen).select("features", "label")
-    return GBTClassifier(maxIter=TREES, maxDepth=DEPTH, seed=5, cacheNodeIds=False).fit(rows), counts, prior
+    chosen = settle(with_suffixes(url_sample(labelled, sample), counts, prior, own=True), "sample")
+    rows = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(chosen).select("features", "label", F.col("n").cast("double").alias("weight"))
+    return GBTClassifier(weightCol="weight", maxIter=TREES, maxDepth=DEPTH, seed=5, cacheNodeIds=False).fit(rows), counts, prior
 
 
 def judge(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES, sample: int = SAMPLE) -> DataFrame:

@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from guichet.llm import decontaminate, kdtree, lines, logbilinear, mixture, packing, secrets, simhash, spread, urls
@@ -188,6 +189,7 @@ def test_large_hosts_lose_lines_that_many_texts_hold(spark):
     held = lines.clean_documents(df).filter(F.col("text").contains(line))
     assert [r.doc_id for r in held.select("doc_id").collect()] == [0]
     assert lines.clean_documents(df, many_docs=None).filter(F.col("text").contains(line)).count() == 1050
+    assert lines.line_verdicts(df)[0].filter("id < 1050").agg(F.sum(F.col("n_words") - F.col("words_left"))).first()[0] == 1049 * len(line.split())
 
 
 
@@ -366,6 +368,17 @@ def test_kd_tree_balance(spark):
     assert whole.agg(F.countDistinct("shard")).first()[0] == -(-sum(sizes) // 50_000)
 
 
+def test_equal_texts_share_a_shard(spark):
+    """Groups up to a tenth of a shard are whole, a larger one is spread."""
+    df = spark.range(4_000).selectExpr("id AS doc_id", "CASE WHEN id < 1500 THEN 'one text for many' WHEN id < 2000 THEN concat('small group of equal texts ', id % 100) ELSE concat('text ', id, ' alone') END AS text",
+                                       "concat('s', id % 5) AS source", "'en' AS lang", "id % 50 AS n_chars")
+    got = kdtree.kd_shards(df, shards=8).join(df.select(F.col("doc_id").alias("id"), "text"), "id")
+    per = {r.text: r for r in got.groupBy("text").agg(F.count("*").alias("n"), F.countDistinct("shard").alias("shards")).collect()}
+    assert per["one text for many"].shards > 1 and all(r.shards == 1 for t, r in per.items() if t != "one text for many")
+    sizes = [r.b for r in got.groupBy("shard").agg(F.sum("size").alias("b")).collect()]
+    assert max(sizes) < 1.05 * sum(sizes) / 8 and min(sizes) > 0.95 * sum(sizes) / 8
+
+
 def test_running_offset(spark):
     df = spark.range(500).selectExpr("id", "id % 2 = 0 AS g", "id % 7 AS w")
     for groups in (["g"], []):
@@ -398,6 +411,71 @@ def test_mixture(spark, duck):
     assert sorted(got) == sorted(QUERIES["op7_block_mixture"](spark, SF).collect())
 
 
+def signed(n):
+    return n - (1 << 64) if n >= 1 << 63 else n
+
+
+def spark_hash(*values):
+    """xxhash64 of 32-bit (a pair of value and 4) and 64-bit integers, as Spark chains it."""
+    h = 42
+    for v in values:
+        raw = v[0].to_bytes(4, "little", signed=True) if isinstance(v, tuple) else v.to_bytes(8, "little", signed=True)
+        h = xxhash.xxh64_intdigest(raw, seed=h)
+    return signed(h)
+
+
+def brute_permutation(s, epoch, n):
+    out = []
+    for x in range(n):
+        for k in range(1, mixture.ROUNDS + 1):
+            other = (spark_hash((37, 4), (s, 4), epoch, (k, 4)) % n - x) % n
+            if spark_hash((41, 4), (s, 4), epoch, (k, 4), max(x, other)) % 2:
+                x = other
+        out.append(x)
+    return out
+
+
+def test_taken_words_against_brute_force(spark):
+    rng = random.Random(8)
+    rows = [(d, rng.choice(["a", "a", "a", "b", "c", None]), " ".join(["w"] * rng.choice([0, 1, 7, 30, 400]))) for d in range(150)]
+    block, shard = 10, 64
+    m = mixture.mix(spark.createDataFrame(rows, "doc_id long, source string, text string"), block=block, shard=shard)
+    order = sorted({r[1] for r in rows}, key=lambda s: (s is None, s or ""))
+    sizes = Counter()
+    for _, s, t in rows:
+        sizes[s] += len(t.split())
+    target, _ = waterfill(sizes)
+    blocks = {s: -(-sizes[s] // block) for s in order}
+    slots = {s: math.floor(target[s] * blocks[s] / sizes[s] + 0.5) for s in order}
+    bounds, total = [], 0
+    for s in order:
+        bounds.append((total, total + slots[s], s))
+        total += slots[s]
+    placed = [(k // shard, k % shard) for k in range(total)]
+    drawn = [next(s for lo, hi, s in bounds if lo <= spark_hash((19, 4), a, b) % total < hi) for a, b in placed]
+    assert Counter(drawn) != slots
+    seen, surplus = Counter(), 0
+    for s in drawn:
+        seen[s] += 1
+        surplus += seen[s] > slots[s]
+    got = {(r.shard, r.place): (order[r.s], r.slot) for r in m.placed.collect()}
+    assert set(got) == set(placed) and sum(got[p][0] != s for p, s in zip(placed, drawn, strict=True)) == surplus
+    assert sorted(got.values(), key=str) == sorted(((s, j) for s in order for j in range(slots[s])), key=str)
+    uses = Counter()
+    for k, s in enumerate(order):
+        for epoch in range(-(-slots[s] // blocks[s])):
+            ring = brute_permutation(k, epoch, blocks[s])
+            assert sorted(ring) == list(range(blocks[s]))
+            uses.update((s, b) for b in ring[:slots[s] - epoch * blocks[s]])
+    assert uses == Counter((order[r.s], r.block) for r in m.placed.collect())
+    at, want = Counter(), {}
+    for d, s, t in sorted(rows, key=lambda r: r[0]):
+        n = len(t.split())
+        want[d] = sum(uses[s, i // block] for i in range(at[s], at[s] + n))
+        at[s] += n
+    assert {r.id: r.taken for r in mixture.taken_words(m).collect()} == want
+
+
 def waterfill(sizes):
     weight = {s: (3, 1, 2)[k % 3] for k, s in enumerate(sorted(sizes, key=lambda s: (s is None, s or "")))}
     total, full = 1.5 * sum(sizes.values()), set()
