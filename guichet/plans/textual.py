@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions import text as T, vectors as V
 from ..operators import answers as A, cells as C, evaluation as E, features as X, models as M, prepare as P, search as R, tfidf as W
 from ..session import fresh_path, settle
-from ..sources import stores
+from ..sources import segments, stores
 from .registry import built_once, query
 from .standin import SQL_PREDICTIONS, SQL_TICKETS, predictions, sql_terms, sql_vocab, sql_weights, sql_word_count, table, tickets
 from .tabular import r6
@@ -278,6 +278,18 @@ def index_build_dense(spark, sf):
         F.round(F.aggregate(F.col("embedding").cast("array<double>"), F.lit(0.0), lambda a, b: a + b), 4).alias("total"), "model_name")
 
 
+@query("""SELECT vec_id AS id, len(embedding) AS size, round(CASE WHEN l.doc_id IS NULL THEN 1 ELSE -1 END * list_sum(embedding::double[]), 4) AS total
+  FROM embeddings LEFT JOIN (SELECT doc_id, max(toxic) AS toxic FROM labels GROUP BY 1) l ON doc_id = vec_id WHERE coalesce(toxic, 0) = 0""")
+def index_segments(spark, sf):
+    """All vectors are stored; then those that the labels call toxic are deleted and the other labelled ones replaced by their opposites."""
+    path = fresh_path(spark, "segments")
+    given, labels = _vectors(spark, sf), table(spark, sf, "labels").groupBy(F.col("doc_id").alias("id")).agg(F.max("toxic").alias("toxic"))
+    segments.change(path, given)
+    clean = given.join(labels.filter("coalesce(toxic, 0) = 0").select("id"), "id")
+    segments.change(path, clean.withColumn("embedding", F.transform("embedding", lambda x: -x)).select(given.columns), labels.filter("toxic <> 0"))
+    return segments.read(spark, path).select("id", F.size("embedding").alias("size"), F.round(F.aggregate(F.col("embedding").cast("array<double>"), F.lit(0.0), lambda a, b: a + b), 4).alias("total"))
+
+
 # --- answers -------------------------------------------------------------------------------------
 
 _CONTEXT = f"""{_SEARCH}, contexts AS (SELECT h.query_id, string_agg('[Document ' || h.rank || ' - ' || h.id || ']' || chr(10) || c.chunk, chr(10) || chr(10) ORDER BY h.rank) AS context,

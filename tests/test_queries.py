@@ -34,8 +34,12 @@ def ordered(rows):
     return sorted(rows, key=lambda r: tuple((v is None, str(v)) for v in r))
 
 
+# Approximate hits are not SQL's; dense_cells_recall, which has SQL, and test_cells hold them against the exact ones.
+APPROXIMATE = {"dense_search_cells"}
+
+
 def test_every_query_has_sql():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) == set(ORACLES) | APPROXIMATE and not set(ORACLES) & APPROXIMATE
     assert set(QUERIES) <= set(entry_point.queries())
 
 
