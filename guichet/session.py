@@ -7,6 +7,8 @@ import pathlib
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -74,13 +76,23 @@ def forget(spark: SparkSession, paths: set[str] | None = None) -> None:
     _written.get(spark.sparkContext.applicationId, set()).difference_update(gone)
 
 
-def settle(df: DataFrame, name: str = "settled") -> DataFrame:
+@contextmanager
+def passing(spark: SparkSession) -> Iterator[None]:
+    """Tables settled inside are deleted at the end, also on failure. Results go to paths asked for before."""
+    before = written(spark)
+    try:
+        yield
+    finally:
+        forget(spark, written(spark) - before)
+
+
+def settle(df: DataFrame, name: str = "settled", path: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and continue from the files.
 
     A Parquet table rather than a row checkpoint, because most later steps read two or
     three of its columns. Lost executors cost nothing that came before.
     """
-    path = fresh_path(df.sparkSession, name)
+    path = path or fresh_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
