@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -11,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import settle
+from .common import slices
 from .registry import query, table
 
 Q = 12
@@ -26,6 +29,10 @@ LEAST = 24
 #: Benchmark bytes that one pass over the documents searches for.
 PASS_BYTES = 1_000_000
 BITMAP_BITS = 23
+#: Places within which a q-gram that recurs is taken for one run.
+RECUR = 8
+#: Text places whose bands are counted together, and band counts made at a time.
+STRETCH, COUNTED = 1 << 13, 1 << 20
 MIX = np.uint64(0x9E3779B97F4A7C15)
 RUN = re.compile(rb"[^\x20\x09-\x0D]+")
 
@@ -71,33 +78,41 @@ def needed(size: int) -> int:
 
 @dataclass
 class Index:
-    """The pieces of a benchmark block, and where each q-gram occurs in them."""
+    """The distinct pieces of a benchmark block, which items hold them, and where each q-gram occurs in them.
 
-    items: list
-    starts: np.ndarray
+    A q-gram that recurs in a piece within RECUR places is one run of places, so rulers and table lines stay short.
+    """
+
+    held: list[list[tuple[int, object, int]]]  # by piece: (number, item, start)
     pieces: list[bytes]
     grams: np.ndarray   # sorted, distinct
-    offsets: np.ndarray  # into the next two, by gram
+    offsets: np.ndarray  # into the next three, by gram
     piece: np.ndarray
-    place: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
 
     @staticmethod
     def build(rows: list[tuple[object, bytes]]) -> Index:
-        items, starts, pieces = [], [], []
+        holders: dict[bytes, list[tuple[int, object, int]]] = {}
+        number = 0
         for item, text in rows:
             data = squeezed(text)
             if len(data) >= LEAST:
-                for s, p in pieces_of(data):
-                    items.append(item)
-                    starts.append(s)
-                    pieces.append(p)
+                for start, p in pieces_of(data):
+                    holders.setdefault(p, []).append((number, item, start))
+                    number += 1
+        pieces = list(holders)
         codes = [codes_of(p) for p in pieces]
         flat = np.concatenate(codes) if codes else np.zeros(0, np.uint64)
         owner = np.repeat(np.arange(len(pieces)), [len(c) for c in codes])
         place = np.concatenate([np.arange(len(c)) for c in codes]) if codes else np.zeros(0, np.int64)
         order = np.argsort(flat, kind="stable")
-        grams, first = np.unique(flat[order], return_index=True)
-        return Index(items, np.array(starts, np.int64), pieces, grams, np.r_[first, len(flat)].astype(np.int64), owner[order], place[order].astype(np.int64))
+        flat, owner, place = flat[order], owner[order], place[order].astype(np.int64)
+        new = np.r_[True, (flat[1:] != flat[:-1]) | (owner[1:] != owner[:-1]) | (place[1:] - place[:-1] > RECUR)][:len(flat)]
+        first = np.flatnonzero(new)
+        high = place[np.r_[first[1:], len(flat)].astype(np.int64) - 1] if len(flat) else place
+        grams, offsets = np.unique(flat[first], return_index=True)
+        return Index(list(holders.values()), pieces, grams, np.r_[offsets, len(first)].astype(np.int64), owner[first], place[first], high)
 
     def bitmap(self) -> np.ndarray:
         out = np.zeros(1 << BITMAP_BITS, bool)
@@ -118,9 +133,8 @@ class Matcher:
         self.filters = [(n, span) for n, span in self.filters if not any(m <= n and wide >= span and (m, wide) != (n, span) for m, wide in self.filters)]
         self.band = int(self.edits.max(initial=0)) + 1
 
-    def bands(self, data: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """(piece, first diagonal) of the bands with enough shared q-grams."""
-        none = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    def bands(self, data: bytes) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(piece, first diagonal) of the bands with enough shared q-grams, a stretch of the text at a time."""
         codes = codes_of(data)
         hits = np.flatnonzero(self.bitmap[_slots(codes)])
         dense = np.zeros(len(hits) + 1, np.int64)  # regions with enough hits of any piece, by their first and last hits
@@ -131,24 +145,56 @@ class Matcher:
                 np.add.at(dense, start + n, -1)
         hits = hits[np.cumsum(dense[:-1]) > 0]
         if not len(hits):
-            return none
+            return
         x = self.index
-        at = np.searchsorted(x.grams, codes[hits])
-        real = np.minimum(at, len(x.grams) - 1)
+        gram = np.searchsorted(x.grams, codes[hits])
+        real = np.minimum(gram, len(x.grams) - 1)
         real = x.grams[real] == codes[hits]
-        hits, at = hits[real], at[real]
-        sizes = x.offsets[at + 1] - x.offsets[at]
-        into = np.repeat(x.offsets[at] - np.r_[0, np.cumsum(sizes)[:-1]], sizes) + np.arange(sizes.sum()) if len(at) else np.zeros(0, np.int64)
-        piece, text_at = x.piece[into], np.repeat(hits, sizes)
-        diagonal = text_at - x.place[into] + PIECE
-        first = diagonal // self.band
-        # Bands are twice as wide as the budget and overlap by half, so any stretch of diagonals within the budget lies in one.
-        key = np.concatenate([piece, piece]) * np.int64(1 << 40) + np.concatenate([first, np.maximum(first - 1, 0)])
-        both = np.unique(np.stack([key, np.concatenate([text_at, text_at])]), axis=1) if len(key) else np.zeros((2, 0), np.int64)
-        found, counts = np.unique(both[0], return_counts=True)
-        piece, first = found >> 40, (found & ((1 << 40) - 1)) * self.band - PIECE
-        good = counts >= self.needed[piece]
-        return piece[good], first[good]
+        hits, gram = hits[real], gram[real]
+        reach = 2 * self.band + 2 * PIECE  # a band that begins in a stretch ends within so many places behind it
+        for begin in sorted({int(v) for h in (hits - 2 * self.band, hits + PIECE) for v in np.unique(h // STRETCH)}):
+            lo, hi = begin * STRETCH, (begin + 1) * STRETCH
+            near = slice(*np.searchsorted(hits, [lo - PIECE, hi + reach]))
+            if near.stop > near.start:
+                yield self._bands_of(hits[near], gram[near], -(-lo // self.band), -(-hi // self.band))
+
+    def _bands_of(self, hits: np.ndarray, gram: np.ndarray, from_band: int, to_band: int) -> tuple[np.ndarray, np.ndarray]:
+        """The bands of a range, counted from runs: places where the text, and a piece, repeat a q-gram within RECUR.
+
+        Band b holds the 2 * band diagonals from b * band - PIECE; bands overlap by half, so any stretch of diagonals
+        within the budget lies in one. A run of the text shares as many q-grams with a run of a piece in a band as
+        it has places there. Runs with gaps count too many, never too few; the alignment decides.
+        """
+        x, width = self.index, self.band
+        order = np.lexsort((hits, gram))
+        hits, gram = hits[order].astype(np.int64), gram[order].astype(np.int64)
+        places = (gram << 40) + hits
+        first = np.flatnonzero(np.r_[True, np.diff(places) > RECUR])
+        t0, t1, g = hits[first], hits[np.r_[first[1:], len(hits)] - 1], gram[first]
+        sizes = x.offsets[g + 1] - x.offsets[g]
+        run = np.repeat(np.arange(len(first)), sizes)
+        into = np.repeat(x.offsets[g] - np.r_[0, np.cumsum(sizes)[:-1]], sizes) + np.arange(sizes.sum())
+        low, high = x.low[into], x.high[into]
+        least = np.maximum((t0[run] - high + PIECE) // width - 1, from_band)
+        most = np.minimum((t1[run] - low + PIECE) // width, to_band - 1)
+        count = np.maximum(most - least + 1, 0)
+        keys, totals = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        ends = np.cumsum(count)
+        cuts = np.unique(np.r_[0, np.searchsorted(ends, np.arange(COUNTED, ends[-1] if len(ends) else 0, COUNTED)) + 1, len(ends)])
+        for s, e in zip(cuts[:-1], cuts[1:], strict=True):
+            c = count[s:e]
+            at = np.repeat(np.arange(s, e), c)
+            band = least[at] + np.arange(len(at)) - np.repeat(np.cumsum(c) - c, c)
+            r = run[at]
+            start = np.maximum(t0[r], band * width - PIECE + low[at])
+            stop = np.minimum(t1[r], (band + 2) * width - PIECE - 1 + high[at])
+            shared = np.searchsorted(places, (g[r] << 40) + stop, "right") - np.searchsorted(places, (g[r] << 40) + start)
+            key = x.piece[into[at]] * np.int64(1 << 40) + band + (1 << 20)
+            keys, back = np.unique(np.r_[keys, key], return_inverse=True)
+            totals = np.bincount(back, np.r_[totals, np.maximum(shared, 0)], len(keys)).astype(np.int64)
+        piece = keys >> 40
+        good = totals >= self.needed[piece]
+        return piece[good], ((keys[good] & ((1 << 40) - 1)) - (1 << 20)) * width - PIECE
 
     def align(self, texts: list[bytes], owner: np.ndarray, piece: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Least edits of each piece against its band of the text, and where that alignment begins and ends in the text."""
@@ -189,36 +235,81 @@ class Matcher:
 
     def search(self, texts: list[bytes]) -> list[tuple[int, object, int, int, int]]:
         """(text, item, begin, end, edits) in squeezed bytes: every occurrence of a benchmark item in a text."""
-        owner, piece, first = [], [], []
+        out = []
+        waiting: list[tuple[int, np.ndarray, np.ndarray]] = []
+        aligned: dict[tuple[int, int], list[tuple[int, int, int]]] = {}
+
+        def decide() -> None:
+            owner = np.concatenate([np.full(len(p), k) for k, p, _ in waiting])
+            piece, first = (np.concatenate([w[i] for w in waiting]) for i in (1, 2))
+            waiting.clear()
+            for s in range(0, len(owner), 20_000):
+                cut = slice(s, s + 20_000)
+                self.verify(texts, owner[cut], piece[cut], first[cut], aligned)
+
         for k, data in enumerate(texts):
-            p, f = self.bands(data)
-            owner += [k] * len(p)
-            piece.append(p)
-            first.append(f)
-        if not owner:
-            return []
-        owner, piece, first = np.array(owner), np.concatenate(piece), np.concatenate(first)
-        found: dict[tuple[int, object], list[tuple[int, int, int, int, int]]] = {}
-        for s in range(0, len(owner), 2_000):
-            cut = slice(s, s + 2_000)
-            best, begin, end = self.align(texts, owner[cut], piece[cut], first[cut])
-            for k in np.flatnonzero(best <= self.edits[piece[cut]]).tolist():
-                at = int(piece[cut][k])
-                found.setdefault((int(owner[cut][k]), self.index.items[at]), []).append((int(begin[k] - self.index.starts[at]), at, int(best[k]), int(begin[k]), int(end[k])))
-        return [(text, item, *stretch) for (text, item), aligned in found.items() for stretch in self.occurrences(aligned)]
-
-    def occurrences(self, aligned: list[tuple[int, int, int, int, int]]) -> list[tuple[int, int, int]]:
-        """(begin, end, edits) of each occurrence of an item, from (diagonal, piece, edits, begin, end) of its alignments.
-
-        Alignments whose diagonals follow each other within the band are one occurrence, with the best of each piece
+            for p, f in self.bands(data):
+                if len(p):
+                    waiting.append((k, p, f))
+                    if sum(len(w[1]) for w in waiting) >= 20_000:
+                        decide()
+        if waiting:
+            decide()
+        found: dict[tuple[int, object], list[tuple[int, int, int, int, int, int]]] = {}
+        for (text, piece), places in aligned.items():
+            for low, high, (edits, begin, end) in self.stretches(places):
+                for number, item, start in self.index.held[piece]:
+                    found.setdefault((text, item), []).append((low - start, high - start, number, edits, begin, end))
+        for (text, item), stretches in found.items():
+            out += [(text, item, *o) for o in self.occurrences(stretches)]
+        return out
+
+    def verify(self, texts: list[bytes], owner: np.ndarray, piece: np.ndarray, first: np.ndarray, aligned: dict) -> None:
+        """Add the (begin, end, edits) of bands that align within the budget. Bands of equal bytes are aligned once."""
+        slack = int(self.edits.max(initial=0))
+        width = 2 * self.band + 2 * slack
+        shown: dict[tuple[int, int, bytes], int] = {}
+        same = np.zeros(len(owner), np.int64)
+        for k, (o, p, f) in enumerate(zip(owner.tolist(), piece.tolist(), first.tolist(), strict=True)):
+            start = f - slack
+            window = texts[o][max(start, 0):max(start + int(self.sizes[p]) + width, 0)]
+            same[k] = shown.setdefault((p, min(start, 0), window), k)
+        once, back = np.unique(same, return_inverse=True)
+        best, begin, end = np.zeros(len(once), np.int64), np.zeros(len(once), np.int64), np.zeros(len(once), np.int64)
+        for s in range(0, len(once), 2_000):
+            cut = once[s:s + 2_000]
+            best[s:s + 2_000], b, e = self.align(texts, owner[cut], piece[cut], first[cut])
+            begin[s:s + 2_000], end[s:s + 2_000] = b - first[cut], e - first[cut]
+        for k in np.flatnonzero(best[back] <= self.edits[piece]).tolist():
+            at = back[k]
+            aligned.setdefault((int(owner[k]), int(piece[k])), []).append((int(first[k] + begin[at]), int(first[k] + end[at]), int(best[at])))
+
+    def stretches(self, places: list[tuple[int, int, int]]) -> Iterator[tuple[int, int, tuple[int, int, int]]]:
+        """(first begin, last begin, best (edits, begin, end)) of alignments of one piece that follow each other within the band."""
+        low = high = best = None
+        for begin, end, edits in sorted(places):
+            if best is not None and begin - high > self.band:
+                yield low, high, best
+                best = None
+            low = begin if best is None else low
+            best = (edits, begin, end) if best is None else min(best, (edits, begin, end))
+            high = begin
+        if best is not None:
+            yield low, high, best
+
+    def occurrences(self, stretches: list[tuple[int, int, int, int, int, int]]) -> list[tuple[int, int, int]]:
+        """(begin, end, edits) of each occurrence of an item, from (first diagonal, last diagonal, piece, edits, begin, end) of its pieces' stretches.
+
+        Stretches whose diagonals follow each other within the band are one occurrence, with the best of each piece
         in it. An occurrence inside another, as an item that repeats itself makes them, is left out.
         """
         chains: list[dict[int, tuple[int, int, int]]] = []
         last = None
-        for diagonal, at, edits, begin, end in sorted(aligned):
-            if last is None or diagonal - last > self.band:
+        for low, high, at, edits, begin, end in sorted(stretches):
+            if last is None or low - last > self.band:
                 chains.append({})
-            last = diagonal
+                last = high
+            last = max(last, high)
             chains[-1][at] = min(chains[-1].get(at, (edits, begin, end)), (edits, begin, end))
         merged = [(min(v[1] for v in c.values()), max(v[2] for v in c.values()), max(v[0] for v in c.values())) for c in chains]
         out: list[tuple[int, int, int]] = []
@@ -262,24 +353,41 @@ def benchmark_blocks(benchmark: DataFrame, item_col: str, text_col: str, pass_by
             yield rows
 
 
+_ready: dict[str, Matcher] = {}
+
+
+def _matcher(sent) -> Matcher:
+    """The matcher of a block, made once by a Python worker; only the block's texts travel."""
+    key, rows = sent.value
+    if key not in _ready:
+        _ready.clear()
+        _ready[key] = Matcher(Index.build(rows))
+    return _ready[key]
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", pass_bytes: int = PASS_BYTES) -> DataFrame:
     """(id, item, start, end, edits): for each row of ``docs``, every occurrence of a benchmark item, as a stretch in code points.
 
     Both sides are compared in lower case with white space squeezed. An item is found where one of its pieces
     aligns with the text within the edit budget, so also by any EXCERPT bytes of it; a stretch reaches from the first such piece of an occurrence to its
     last, and ``edits`` is the most that one of them needs. Repeated rows give repeated results; null, empty and short
-    items and texts give none. The documents are read once for each block of the benchmark, without a shuffle.
+    items and texts give none. The documents are read once for each block of the benchmark, without a shuffle; a block
+    of ``pass_bytes`` is sent at a time, and taken back before the next.
     """
     given = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("binary").alias("text"))
     kind = benchmark.schema[item_col].dataType.simpleString()
     schema = f"id {given.schema['id'].dataType.simpleString()}, item {kind}, start long, end long, edits long"
-    out = given.sparkSession.createDataFrame([], schema)
+    out, part, sent = None, given.sparkSession.createDataFrame([], schema), None
     for rows in benchmark_blocks(benchmark, item_col, item_text_col, pass_bytes):
-        sent = given.sparkSession.sparkContext.broadcast(Index.build(rows))
+        if sent is not None:
+            part = settle(part, "leaks")
+            sent.destroy()
+            out = part if out is None else out.union(part)
+        sent = given.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, rows))
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(sent.value)
-            for batch in batches:
+            matcher = _matcher(sent)
+            for batch in slices(batches, "text", 1 << 22):
                 raw = [t.as_py() or b"" for t in batch.column("text")]
                 found = matcher.search([squeezed(t) for t in raw])
                 spans = [original_span(raw[k], b, e) for k, _, b, e, _ in found]
@@ -287,18 +395,25 @@ def leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_co
                 columns = [batch.column("id").take(take), [f[1] for f in found], [s for s, _ in spans], [e for _, e in spans], [f[4] for f in found]]
                 yield pa.RecordBatch.from_arrays([columns[0], pa.array(columns[1], pa.int64() if kind == "bigint" else None), *[pa.array(c, pa.int64()) for c in columns[2:]]], ["id", "item", "start", "end", "edits"])
 
-        out = out.union(given.mapInArrow(run, schema))
-    return out
+        part = given.mapInArrow(run, schema)
+    return part if out is None else out.union(part)
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text", pass_bytes: int = PASS_BYTES) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text holds no benchmark item in the sense of ``leaks``."""
+    """The rows of ``docs``, all columns, whose text holds no benchmark item in the sense of ``leaks``.
+
+    Rows with a null or empty text stay. What one block of the benchmark leaves is written before the next block is sent.
+    """
+    sent = None
     for rows in benchmark_blocks(benchmark, item_col, item_text_col, pass_bytes):
-        sent = docs.sparkSession.sparkContext.broadcast(Index.build(rows))
+        if sent is not None:
+            docs = settle(docs, "clean")
+            sent.destroy()
+        sent = docs.sparkSession.sparkContext.broadcast((uuid.uuid4().hex, rows))
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            matcher = Matcher(sent.value)
-            for batch in batches:
+            matcher = _matcher(sent)
+            for batch in slices(batches, text_col, 1 << 22):
                 texts = [squeezed(t.as_py().encode() if t.is_valid else b"") for t in batch.column(text_col)]
                 clean = np.ones(len(texts), bool)
                 clean[[k for k, *_ in matcher.search(texts)]] = False

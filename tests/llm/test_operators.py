@@ -3,6 +3,7 @@
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -353,6 +354,8 @@ def test_kd_tree(spark, duck, odd, nothing):
         slots.setdefault(r.shard, []).append(r.slot)
     assert set(slots) <= set(range(24)) and all(sorted(s) == list(range(len(s))) for s in slots.values())
     got = kdtree.kd_shards(odd, shards=3).collect()
+    texts = kdtree.kd_shards(odd, shards=3, with_text=True).collect()
+    assert sorted((str(r.id), str(r.text)) for r in texts) == sorted((str(r.doc_id), str(r.text)) for r in odd.collect())
     assert len(got) == odd.count() and {r.shard for r in got} <= {0, 1, 2}
     assert kdtree.kd_shards(nothing, shards=4).count() == 0
 
@@ -607,6 +610,25 @@ def test_every_occurrence_is_a_row():
     assert len(found) == 2 and found[0][3] <= clean[0] + 2 and found[1][2] >= clean[1] - 2
 
 
+def test_rulers_stay_cheap_and_exact():
+    def line(k, ruler):
+        return k, b"item %d begins with these words " % k + ruler + b" and closes with %d others" % (7 * k)
+
+    for ruler, length in ((b"-" * 80, 2_000), (b"-=" * 40, 4_000), (b"+----" * 16, 4_000)):
+        matcher = decontaminate.Matcher(decontaminate.Index.build([line(k, ruler) for k in range(50)]))
+        begun = time.process_time()
+        found = matcher.search([b"a text " + (ruler * length)[:length] + b" end", b"a text " + ruler[:40] + b" end"])
+        assert time.process_time() - begun < 10
+        assert sorted((t, k) for t, k, *_ in found) == [(0, k) for k in range(50)]  # 40 places of a ruler are no piece of 48
+        assert all(b >= 5 and e <= 7 + length + 5 for _, _, b, e, _ in found)
+
+
+def test_blocks_of_a_benchmark_give_the_same_rows(spark, duck):
+    docs, bench = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "benchmark"))
+    once, often = (sorted(map(tuple, decontaminate.leaks(docs, bench, pass_bytes=b).collect())) for b in (1_000_000, 3_000))
+    assert once and once == often
+
+
 
 # Secrets
 
