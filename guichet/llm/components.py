@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import settle
+from ..session import fresh_path, passing, settle
 
 
 def _least(pairs: DataFrame) -> DataFrame:
@@ -33,13 +33,16 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     the shared folder. A hub is only ever a join key (split by adaptive execution) and a minimum
     (combined before the shuffle). Self links and nulls are ignored; no links give no rows.
     """
-    pairs = settle(links.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
-    seen = None
-    for _ in range(rounds):
-        pairs = settle(_small_star(_large_star(pairs)).filter("a <> b").distinct(), "stars")
-        state = tuple(pairs.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-        if state == seen:
-            roots = pairs.select(F.col("b").alias("node"), F.col("b").alias("root"))
-            return pairs.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots).distinct()
-        seen = state
+    spark = links.sparkSession
+    out = fresh_path(spark, "roots")
+    with passing(spark):
+        pairs = settle(links.filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
+        seen = None
+        for _ in range(rounds):
+            pairs = settle(_small_star(_large_star(pairs)).filter("a <> b").distinct(), "stars")
+            state = tuple(pairs.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+            if state == seen:
+                roots = pairs.select(F.col("b").alias("node"), F.col("b").alias("root"))
+                return settle(pairs.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots).distinct(), path=out)
+            seen = state
     raise RuntimeError(f"components still change after {rounds} rounds")

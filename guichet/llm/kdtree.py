@@ -103,9 +103,11 @@ def grow_tree(points: DataFrame, dims: int, leaves: int) -> DataFrame:
 
 
 def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | None = None, id_col: str = "doc_id", text_col: str = "text",
-              numbers: tuple[str, ...] = ("n_chars",), names: tuple[str, ...] = ("lang", "source")) -> DataFrame:
+              numbers: tuple[str, ...] = ("n_chars",), names: tuple[str, ...] = ("lang", "source"), with_text: bool = False) -> DataFrame:
     """(id, size, text_crc32, shard, slot) for every row: shards of nearly equal bytes that are close in metadata.
 
+    ``with_text`` adds the text; the tree itself is grown without it, and texts meet their places in one join.
+
     The shards are ``shards`` leaves, or as many as bring a leaf to ``target_bytes`` at most. Metadata are the
     columns ``numbers`` and ``names`` (by their first bytes), each from 0 to 1 over the table; nulls are least.
     The weight is the text's UTF-8 bytes plus 8. Equal texts share the metadata of their smallest id and stay in
@@ -138,6 +140,10 @@ def kd_shards(docs: DataFrame, shards: int | None = None, target_bytes: int | No
     points = settle(scaled.select("id", "k1", "k2", "size", "text_crc32", F.col("size").alias("weight"), *[f"d{k}" for k in range(dims)], *[f"key{k}" for k in range(dims)]), "points")
     placed = grow_tree(points, dims, leaves).select("id", "k1", "k2", "size", "text_crc32", F.col("first").alias("shard")).withColumn("one", F.lit(1).cast("long"))
     slotted = running_offset(placed, ["shard"], ["id", "k1", "k2"], "one", "slot", ends.n)
+    if with_text:
+        texts = docs.select(F.col(id_col).alias("_id"), k1.alias("_k1"), k2.alias("_k2"), F.col(text_col).alias("text")).dropDuplicates(["_id", "_k1", "_k2"])
+        same = F.col("id").eqNullSafe(F.col("_id")) & (F.col("k1") == F.col("_k1")) & (F.col("k2") == F.col("_k2"))
+        return slotted.join(texts, same).select("id", "text", "size", "text_crc32", "shard", "slot")
     return slotted.select("id", "size", "text_crc32", "shard", "slot")
 
 

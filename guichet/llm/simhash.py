@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import settle
+from ..session import fresh_path, passing, settle
 from .common import SPACE, ascii_lower, byte_words, slices
 from .components import components
 from .registry import query, table
@@ -358,7 +358,8 @@ def similar_links(given: DataFrame, size: int, similarity: float) -> DataFrame:
     that follow by size. Pairs further apart are compared only where those links don't join them already, so a
     large group of near copies costs few pairs. The result keeps every component of the similar pairs.
     """
-    sent = given.sparkSession.sparkContext.broadcast(_common_shingles(given, size))
+    spark = given.sparkSession
+    sent = spark.sparkContext.broadcast(_common_shingles(given, size))
 
     def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         common, rank = sent.value
@@ -415,28 +416,34 @@ def similar_links(given: DataFrame, size: int, similarity: float) -> DataFrame:
 
     def similar(pairs: DataFrame) -> DataFrame:
         """The pairs whose sets are similar. Sketches first drop most of those that surely are not, then the sets decide."""
-        pairs = settle(pairs, "candidates")
-        side = lambda c: sketched.select(F.col("node").alias(c), F.col("size").alias(f"n{c}"), F.col("parity").alias(f"p{c}"))
-        pairs = settle(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "pa", "pb").mapInArrow(possible, "a long, b long"), "pairs")
-        needed = settle(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "needed")  # stored, so the planner knows its size
-        texts = given.join(needed, "node", "left_semi").select("node", "text").dropDuplicates(["node"])
-        held = settle(texts.mapInArrow(sets, "node long, s array<long>"), "sets")
-        both = pairs.join(held.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a").join(held.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
-        shared = F.size(F.array_intersect("sa", "sb"))
-        return settle(both.filter(shared * (1 + similarity) >= similarity * (F.size("sa") + F.size("sb")) - 1e-6).select("a", "b"), "similar")
-
-    sketched = settle(given.mapInArrow(sketches, "node long, size long, parity binary").dropDuplicates(["node"]), "sketches")
-    keyed = given.mapInArrow(prefixes, "tok long, node long, n int, place int")
-    met = settle(keyed.repartition("tok").sortWithinPartitions("tok", "n", "node").mapInArrow(meet, "tok long, a long, b long, n int, place int"), "met")
-    near = similar(met.filter("tok IS NULL").select("a", "b").distinct())
-    roots = components(near).withColumnRenamed("node", "_n")
-    rest = met.filter("tok IS NOT NULL").select("tok", "a", "n", "place").distinct().join(roots, F.col("a") == F.col("_n"), "left").select("tok", "a", "n", "place", F.coalesce("root", "a").alias("root"))
-    rest = settle(rest, "rest")
-    mixed = rest.groupBy("tok").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("tok")
-    rest = rest.join(mixed, "tok", "left_semi")
-    x, y = rest.alias("x"), rest.alias("y")
-    apart = x.join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("x.root") < F.col("y.root")) & _may_reach(similarity, F.col("x.n"), F.col("y.n"), F.col("x.place"), F.col("y.place")))
-    return near.union(similar(apart.select(F.least("x.a", "y.a").alias("a"), F.greatest("x.a", "y.a").alias("b")).distinct()))
+        out = fresh_path(spark, "similar")
+        with passing(spark):
+            pairs = settle(pairs, "candidates")
+            side = lambda c: sketched.select(F.col("node").alias(c), F.col("size").alias(f"n{c}"), F.col("parity").alias(f"p{c}"))
+            pairs = settle(pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "pa", "pb").mapInArrow(possible, "a long, b long"), "pairs")
+            needed = settle(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), "needed")  # stored, so the planner knows its size
+            texts = given.join(needed, "node", "left_semi").select("node", "text").dropDuplicates(["node"])
+            held = settle(texts.mapInArrow(sets, "node long, s array<long>"), "sets")
+            both = pairs.join(held.select(F.col("node").alias("a"), F.col("s").alias("sa")), "a").join(held.select(F.col("node").alias("b"), F.col("s").alias("sb")), "b")
+            shared = F.size(F.array_intersect("sa", "sb"))
+            return settle(both.filter(shared * (1 + similarity) >= similarity * (F.size("sa") + F.size("sb")) - 1e-6).select("a", "b"), path=out)
+
+    out = fresh_path(spark, "close")
+    with passing(spark):
+        sketched = settle(given.mapInArrow(sketches, "node long, size long, parity binary").dropDuplicates(["node"]), "sketches")
+        near_path, rest_path = fresh_path(spark, "near"), fresh_path(spark, "rest")
+        with passing(spark):  # the meetings are the largest table: gone before pairs further apart are made
+            keyed = given.mapInArrow(prefixes, "tok long, node long, n int, place int")
+            met = settle(keyed.repartition("tok").sortWithinPartitions("tok", "n", "node").mapInArrow(meet, "tok long, a long, b long, n int, place int"), "met")
+            near = settle(similar(met.filter("tok IS NULL").select("a", "b").distinct()), path=near_path)
+            roots = components(near).withColumnRenamed("node", "_n")
+            rest = met.filter("tok IS NOT NULL").select("tok", "a", "n", "place").distinct().join(roots, F.col("a") == F.col("_n"), "left").select("tok", "a", "n", "place", F.coalesce("root", "a").alias("root"))
+            rest = settle(rest, path=rest_path)
+        mixed = rest.groupBy("tok").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("tok")
+        rest = rest.join(mixed, "tok", "left_semi")
+        x, y = rest.alias("x"), rest.alias("y")
+        apart = x.join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("x.root") < F.col("y.root")) & _may_reach(similarity, F.col("x.n"), F.col("y.n"), F.col("x.place"), F.col("y.place")))
+        return settle(near.union(similar(apart.select(F.least("x.a", "y.a").alias("a"), F.greatest("x.a", "y.a").alias("b")).distinct())), path=out)
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8) -> DataFrame:

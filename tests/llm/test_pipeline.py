@@ -1,6 +1,7 @@
 """The pipeline, stage by stage, against what each stage promises."""
 
 import re
+import zlib
 from collections import Counter
 
 import pytest
@@ -40,8 +41,8 @@ def test_copies_go_and_first_stay(stages):
         if d not in after:  # something like it stayed, directly or through others that went
             assert max(len(sets[d] & sets[x]) / len(sets[d] | sets[x]) for x in before if x != d) > 0.6
     kept = sorted(after)
-    close = [(a, b) for k, a in enumerate(kept) for b in kept[k + 1:] if len(sets[a] & sets[b]) >= 0.85 * len(sets[a] | sets[b])]
-    assert len(close) <= 0.02 * len(kept)
+    close = [(a, b) for k, a in enumerate(kept) for b in kept[k + 1:] if len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b])]
+    assert not close
 
 
 def test_no_leaks_left(stages, duck):
@@ -59,4 +60,7 @@ def test_mixture_and_shards(stages):
         taken[r.doc_id] += words(r.text)
     assert all(0 < taken[d] <= 2 * sizes[d] for d in taken)
     assert abs(sum(taken.values()) - 1.5 * sum(sizes.values())) < 0.01 * sum(sizes.values())
-    assert Counter(r.doc_id for r in stages[4].collect()) == Counter(r.doc_id for r in stages[3].collect())
+    mixed = Counter((r.doc_id, r.text) for r in stages[3].collect())
+    shards = stages[4].collect()
+    assert Counter((r.doc_id, r.text) for r in shards) == mixed  # the shards hold the texts, as often as the mix has them
+    assert all(r.size == len(r.text.encode()) + 8 and r.text_crc32 == zlib.crc32(r.text.encode()) for r in shards)
