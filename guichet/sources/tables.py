@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -38,12 +38,20 @@ def write_table(df: DataFrame, path: str, split: str | None = None) -> None:
     (writer.partitionBy(split) if split else writer).parquet(path)
 
 
+def replace_splits(df: DataFrame, path: str, split: str = "split") -> None:
+    """Replace the splits that ``df`` has rows of; the folders of all others stay as they are."""
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(split).parquet(path)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**CSV_FORMAT).csv(path)
 
 
-def read_stage(spark: SparkSession, path: str, stage: str) -> DataFrame:
-    """A table with the predictions up to ``stage``; says what to run when it is missing or too early."""
+def read_stage(spark: SparkSession, path: str, stage: str, splits: Sequence[str] | None = None, split: str = "split") -> DataFrame:
+    """A table with the predictions up to ``stage``; says what to run when it is missing or too early.
+
+    ``splits`` names the splits to read: where the table has a folder for each, the others are not listed.
+    """
     try:
         df = spark.read.parquet(path)
     except AnalysisException as error:
@@ -51,7 +59,7 @@ def read_stage(spark: SparkSession, path: str, stage: str) -> DataFrame:
     missing = [c for c in STAGE_COLUMNS[stage] if c not in df.columns]
     if missing:
         raise ValueError(f"{path} lacks {missing}: train the '{stage}' stage first")
-    return df
+    return df if splits is None else df.filter(F.col(split).isin(list(splits)))
 
 
 def write_documents(df: DataFrame, path: str) -> None:
