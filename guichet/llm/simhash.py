@@ -27,6 +27,8 @@ NEAR = 4
 #: Texts sampled for common shingles, how many of them make a shingle common, and how many such shingles are sent to the tasks.
 SAMPLED, COMMON, MOST_COMMON = 20_000, 8, 200_000
 MET = ["tok", "a", "b", "n", "place"]
+#: Longs of the sketch that rows of texts under a frequent shingle carry.
+WORDS = 64
 
 
 def _majority(hashes: np.ndarray) -> np.ndarray:
@@ -342,6 +344,19 @@ def parity_sketch(shingles: np.ndarray) -> tuple[int, bytes]:
     return len(shingles), np.packbits(odd.astype(np.uint8)).tobytes()
 
 
+def fixed_sketch(shingles: np.ndarray) -> list[int]:
+    """A parity sketch of WORDS longs, whatever the size of the set."""
+    slots = WORDS * 64
+    odd = np.bincount(shingles.astype(np.uint64) & np.uint64(slots - 1), minlength=slots) & 1 if len(shingles) else np.zeros(slots, int)
+    return np.packbits(odd.astype(np.uint8)).view(np.int64).tolist()
+
+
+def _may_be_similar(similarity: float, n, m, x, y):
+    """Whether sets of n and m shingles with the fixed sketches x and y can be similar: no more bits differ than members may. Columns."""
+    apart = F.aggregate(F.zip_with(x, y, lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda total, c: total + c)
+    return apart * (1 + similarity) <= (1 - similarity) * (n + m) + 1e-6
+
+
 def least_apart(a: bytes, b: bytes) -> int:
     """How many members two sets differ in at least. Each changes one bit, so differing bits are no more; the longer sketch is folded to the shorter one."""
     x, y = (np.frombuffer(s, np.uint8) for s in sorted((a, b), key=len))
@@ -350,13 +365,26 @@ def least_apart(a: bytes, b: bytes) -> int:
     return int(np.bitwise_count(x ^ y).sum())
 
 
-def similar_links(given: DataFrame, size: int, similarity: float) -> DataFrame:
+def fingerprint_pairs(given: DataFrame, radius: int) -> DataFrame:
+    """(a, b): nodes of (node, text) rows that SimHash and the pigeonhole search propose: those of one fingerprint, each with its
+    smallest, and the smallest of close fingerprints, as many as keep their components."""
+    found = settle(fingerprints(given.dropDuplicates(["node"]), "node"), "fingerprints")
+    least = settle(found.groupBy("fp").agg(F.min("id").alias("least")), "nodes")
+    same = found.join(least, "fp").filter("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b"))
+    ends = [least.select(F.col("fp").alias(c), F.col("least").alias(f"least_{c}")) for c in "ab"]
+    close = links(least.select(F.col("fp").alias("node"), "fp"), radius).join(ends[0], "a").join(ends[1], "b")
+    return same.union(close.select(F.least("least_a", "least_b"), F.greatest("least_a", "least_b")))
+
+
+def similar_links(given: DataFrame, size: int, similarity: float, radius: int = 2) -> DataFrame:
     """(a, b): links between nodes whose distinct shingles have at least this Jaccard similarity, decided on the sets.
 
-    ``given`` has rows (node long, text binary); rows of one node have equal words. Nodes meet under each shingle
-    of their prefixes, so no similar pair is missed. Under a shingle each node is first compared with the NEAR
+    ``given`` has rows (node long, text binary); rows of one node have equal words. Pairs of close fingerprints
+    are proposed by the pigeonhole search of SimHash; as similar texts can have fingerprints further apart than
+    ``radius``, nodes also meet under each shingle of their prefixes, so no similar pair is missed. Under a shingle each node is first compared with the NEAR
     that follow by size. Pairs further apart are compared only where those links don't join them already, so a
-    large group of near copies costs few pairs. The result keeps every component of the similar pairs.
+    large group of near copies costs few pairs, and where their sketches don't tell them apart, so a frequent
+    shingle of unlike texts makes none. The result keeps every component of the similar pairs.
     """
     spark = given.sparkSession
     sent = spark.sparkContext.broadcast(_common_shingles(given, size))
@@ -405,8 +433,10 @@ def similar_links(given: DataFrame, size: int, similarity: float) -> DataFrame:
     def sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for whole in slices([batch], "text", 1 << 20):
-                found = [parity_sketch(shingle_set(byte_words(t.as_py()), size)) for t in whole.column("text")]
-                yield pa.RecordBatch.from_arrays([whole.column("node"), pa.array([n for n, _ in found], pa.int64()), pa.array([p for _, p in found], pa.binary())], ["node", "size", "parity"])
+                given_sets = [shingle_set(byte_words(t.as_py()), size) for t in whole.column("text")]
+                found, fixed = [parity_sketch(s) for s in given_sets], [fixed_sketch(s) for s in given_sets]
+                columns = [pa.array([n for n, _ in found], pa.int64()), pa.array([p for _, p in found], pa.binary()), pa.array(fixed, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([whole.column("node"), *columns], ["node", "size", "parity", "fixed"])
 
     def possible(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -430,24 +460,28 @@ def similar_links(given: DataFrame, size: int, similarity: float) -> DataFrame:
 
     out = fresh_path(spark, "close")
     with passing(spark):
-        sketched = settle(given.mapInArrow(sketches, "node long, size long, parity binary").dropDuplicates(["node"]), "sketches")
-        near_path, rest_path = fresh_path(spark, "near"), fresh_path(spark, "rest")
+        sketched = settle(given.mapInArrow(sketches, "node long, size long, parity binary, fixed array<long>").dropDuplicates(["node"]), "sketches")
+        proposed_path, near_path, rest_path = fresh_path(spark, "proposed"), fresh_path(spark, "near"), fresh_path(spark, "rest")
+        with passing(spark):
+            proposed = settle(fingerprint_pairs(given, radius), path=proposed_path)
         with passing(spark):  # the meetings are the largest table: gone before pairs further apart are made
             keyed = given.mapInArrow(prefixes, "tok long, node long, n int, place int")
             met = settle(keyed.repartition("tok").sortWithinPartitions("tok", "n", "node").mapInArrow(meet, "tok long, a long, b long, n int, place int"), "met")
-            near = settle(similar(met.filter("tok IS NULL").select("a", "b").distinct()), path=near_path)
+            near = settle(similar(met.filter("tok IS NULL").select("a", "b").union(proposed).distinct()), path=near_path)
             roots = components(near).withColumnRenamed("node", "_n")
             rest = met.filter("tok IS NOT NULL").select("tok", "a", "n", "place").distinct().join(roots, F.col("a") == F.col("_n"), "left").select("tok", "a", "n", "place", F.coalesce("root", "a").alias("root"))
             rest = settle(rest, path=rest_path)
         mixed = rest.groupBy("tok").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo < hi").select("tok")
-        rest = rest.join(mixed, "tok", "left_semi")
+        rest = rest.join(mixed, "tok", "left_semi").join(sketched.select(F.col("node").alias("a"), "fixed"), "a")
         x, y = rest.alias("x"), rest.alias("y")
-        apart = x.join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("x.root") < F.col("y.root")) & _may_reach(similarity, F.col("x.n"), F.col("y.n"), F.col("x.place"), F.col("y.place")))
+        # sketches drop unlike texts under a frequent shingle before there is a row for their pair
+        met = (F.col("x.tok") == F.col("y.tok")) & (F.col("x.root") < F.col("y.root")) & _may_reach(similarity, F.col("x.n"), F.col("y.n"), F.col("x.place"), F.col("y.place"))
+        apart = x.join(y, met & _may_be_similar(similarity, F.col("x.n"), F.col("y.n"), F.col("x.fixed"), F.col("y.fixed")))
         return settle(near.union(similar(apart.select(F.least("x.a", "y.a").alias("a"), F.greatest("x.a", "y.a").alias("b")).distinct())), path=out)
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5, similarity: float = 0.8) -> DataFrame:
-    """``docs`` without near copies: of each group the row with the smallest id stays.
+    """``docs`` without near copies: of each group the row with the smallest id stays. SimHash and the prefixes propose pairs.
 
     Two texts are near copies if the Jaccard similarity of their distinct shingles of ``size`` words is at least
     ``similarity``; a group is what such pairs join. Texts of equal words are one node whatever their spacing;

@@ -64,3 +64,45 @@ def test_mixture_and_shards(stages):
     shards = stages[4].collect()
     assert Counter((r.doc_id, r.text) for r in shards) == mixed  # the shards hold the texts, as often as the mix has them
     assert all(r.size == len(r.text.encode()) + 8 and r.text_crc32 == zlib.crc32(r.text.encode()) for r in shards)
+
+
+def _spied(monkeypatch):
+    from guichet.llm import simhash
+
+    sizes = []
+
+    def settle(df, name="settled", path=None, settle=simhash.settle):
+        out = settle(df, name, path)
+        sizes.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(simhash, "settle", settle)
+    return sizes
+
+
+def test_unlike_texts_under_frequent_shingles_make_no_pairs(spark, monkeypatch):
+    import random
+
+    from guichet.llm import simhash
+
+    rng, sizes = random.Random(5), _spied(monkeypatch)
+    monkeypatch.setattr(simhash, "COMMON", 1_000)  # nothing counts as common, so the passage is in the prefixes
+    passage = " ".join(f"p{i}" for i in range(40))
+    rows = [(i, passage + " " + " ".join(f"w{rng.randrange(10**9)}" for _ in range(60))) for i in range(60)]
+    kept = simhash.drop_near_copies(spark.createDataFrame([*rows, (99, rows[7][1] + " ende")], "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(60))
+    assert [n for name, n in sizes if name == "candidates"][1] == 0
+
+
+def test_fingerprints_propose_pairs_that_the_sets_decide(spark):
+    from guichet.llm import simhash
+
+    words = [f"wort{i}" for i in range(400)]
+    texts = {3: words, 5: [*words, "ende"], 8: words[::-1], 9: [*words[:399], "anders"]}
+    given = spark.createDataFrame([(k, " ".join(t).encode()) for k, t in texts.items()], "node long, text binary")
+    fp = {k: simhash.fingerprint([w.encode() for w in t]) for k, t in texts.items()}
+    near = {(a, b) for a in fp for b in fp if a < b and (fp[a] ^ fp[b]).bit_count() <= 6}
+    got = {(r.a, r.b) for r in simhash.fingerprint_pairs(given, 6).collect()}
+    assert got and got <= near and {(3, 5), (3, 9), (5, 9)} >= got
+    roots = {r.node: r.root for r in simhash.components(simhash.similar_links(given, 5, 0.8)).collect()}
+    assert roots == {3: 3, 5: 3, 9: 3}
