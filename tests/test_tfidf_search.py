@@ -171,3 +171,14 @@ def test_embedding_hook_and_dense_store(spark, corpus, tmp_path):
     assert {(r.query_id, r.id) for r in best} == {(r.id, r.id) for r in corpus.collect()}
     with pytest.raises(ValueError, match="letters"):
         stores.load_dense_index(spark, path, "other")
+
+
+def test_weights_meet_their_terms_without_a_shuffle_of_the_weights(spark):
+    model = W.fit_tfidf(docs(spark, TEXTS), W.TfidfConfig())
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = W.tfidf_weights(model, docs(spark, TEXTS), "id")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
