@@ -89,3 +89,23 @@ def test_draws_are_stable_and_spread(spark):
 def test_now_text(spark):
     r = spark.range(1).select(T.now_text().alias("iso"), T.now_text("yyyy-MM-dd HH:mm:ss").alias("plain")).first()
     assert re.fullmatch(r"\d{4}-\d\d-\d\dT\d\d:\d\d:\d\d\.\d{6}", r.iso) and re.fullmatch(r"\d{4}-\d\d-\d\d \d\d:\d\d:\d\d", r.plain)
+
+
+def test_words_are_counted_without_asking_every_white_space_range_of_each_character(spark):
+    import time
+
+    slow = F.regexp_count("t", F.lit(f"[^{T.WHITESPACE_SET}]+"))
+    texts = spark.range(0, 16, 1, 4).select(F.repeat(F.lit("quelques mots é d'un texte court\n"), 8_000).alias("t")).localCheckpoint()
+    assert texts.filter(T.word_count("t") != slow).isEmpty()
+    took = []
+    for counted in (T.word_count("t"), slow):
+        start = time.monotonic()
+        texts.agg(F.sum(counted)).collect()
+        took.append(time.monotonic() - start)
+    assert took[0] < 0.6 * took[1]
+
+
+def test_words_are_split_at_the_white_space_of_python_and_nothing_else(spark):
+    points = [p for p in range(0x11000) if not 0xD800 <= p < 0xE000] + [0x10FFFF]
+    rows = spark.createDataFrame([(f"a{chr(p)}b", len(f"a{chr(p)}b".split())) for p in points], "t string, n int")
+    assert rows.filter(T.word_count("t") != F.col("n")).isEmpty()
