@@ -48,6 +48,21 @@ def test_tfidf_matches_the_formula(spark, min_df, max_features, sublinear):
     assert weights.keys() == want.keys() and all(math.isclose(weights[k], want[k]) for k in want)
 
 
+@pytest.mark.parametrize("low,high,min_df,size", [(1, 2, 2, 12), (1, 3, 1, 7), (2, 3, 1, 5), (1, 1, 2, 4), (1, 2, 1, 10_000)])
+def test_candidates_hold_the_vocabulary_and_few_pairs(spark, low, high, min_df, size):
+    pick = np.random.default_rng(low + high + size)
+    texts = [" ".join(f"w{min(int(x), 400)}" for x in pick.zipf(1.3, 60)) for _ in range(60)] + ["", "w1 w1 w1 w1"]
+    config = W.TfidfConfig(low=low, high=high, min_df=min_df, max_features=size)
+    df = W.terms_stage(config).transform(docs(spark, texts))
+    every = W.term_statistics(df)
+    want = [tuple(r) for r in W.vocabulary(every, len(texts), config).collect()]
+    for stats in (W.candidate_statistics(docs(spark, texts), config), W.candidate_statistics(df, config, terms="terms")):
+        assert sorted(tuple(r) for r in W.vocabulary(stats, len(texts), config).collect()) == sorted(want)
+        rows = {tuple(r) for r in stats.collect()}
+        assert rows <= {tuple(r) for r in every.collect()}
+        assert size > 1_000 or len(rows) < every.count() / 2
+
+
 def test_null_text_and_unknown_terms(spark):
     model = W.fit_tfidf(docs(spark, TEXTS), W.TfidfConfig())
     odd = spark.createDataFrame([(1, None), (2, "inconnu totalement"), (3, "chat inconnu")], "id int, text_full string")
