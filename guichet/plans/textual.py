@@ -106,8 +106,7 @@ def model_text(spark, sf):
 @query(f"{_MODEL_TF} SELECT term, df, cf, round(idf, 6) AS idf FROM vocab")
 def tfidf_vocab(spark, sf):
     t = tickets(spark, sf, typed=False)
-    stats = W.term_statistics(W.terms_stage(W.MODEL_TFIDF).transform(t.select("text_full")))
-    return W.vocabulary(stats, table(spark, sf, "documents").count(), W.MODEL_TFIDF).select("term", "df", "cf", *r6("idf"))
+    return W.vocabulary(W.candidate_statistics(t, W.MODEL_TFIDF), table(spark, sf, "documents").count(), W.MODEL_TFIDF).select("term", "df", "cf", *r6("idf"))
 
 
 @query(f"{_MODEL_TF}, {sql_weights('tf', 'weights', True)} SELECT id AS \"ID\", term, round(w, 6) AS weight FROM weights")
