@@ -20,6 +20,8 @@ SAMPLE, CELL_ROWS, MAX_CELLS, PROBES = 100_000, 100, 4_096, 8
 RECALL, TUNING = 0.95, 300
 #: Rows of a part of a cell, and queries that meet it together.
 PART_ROWS, BLOCK_QUERIES = 4_000, 1_000
+#: Distances between rows and centres that a task holds at a time.
+DISTANCES = 1_000_000
 
 
 @dataclass
@@ -45,22 +47,31 @@ def _ready(df: DataFrame, id_col: str, vec_col: str, metric: str, name: str) ->
     return given.withColumn("_n", norm).select(name, F.when(F.col("_n") > 0, F.transform("v", lambda x: x / F.col("_n"))).otherwise(F.col("v")).alias("v"))
 
 
+def _from_centres(batch: pa.RecordBatch, vec: str, centres: np.ndarray, squares: np.ndarray) -> Iterator[tuple[pa.RecordBatch, np.ndarray]]:
+    """(rows, distances): some rows of the batch at a time and how far each is from every centre, less its own square."""
+    step = max(1, DISTANCES // len(centres))
+    for at in range(0, batch.num_rows, step):
+        some = batch.slice(at, step)
+        x = some.column(vec).flatten().to_numpy(zero_copy_only=False).reshape(some.num_rows, -1)
+        yield some, squares - 2 * x @ centres.T
+
+
 def _nearest(df: DataFrame, name: str, centres: np.ndarray, n: int) -> DataFrame:
-    """(name, v, cell): each row once for each of its ``n`` nearest cells. The centres travel to the tasks: MAX_CELLS vectors at most."""
+    """(name, v, cell): each row once for each of its ``n`` nearest cells. The centres travel to the tasks: MAX_CELLS vectors at most.
+
+    A task hands on each vector once with its list of cells.
+    """
     kind = df.schema[name].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         squares = (centres * centres).sum(1)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1_024):
-                some = batch.slice(at, 1_024)
-                x = some.column("v").flatten().to_numpy(zero_copy_only=False).reshape(some.num_rows, -1)
-                far = squares - 2 * x @ centres.T
-                near = np.sort(np.argpartition(far, n - 1, axis=1)[:, :n] if n < len(centres) else np.tile(np.arange(len(centres)), (len(x), 1)), axis=1)
-                rows = np.repeat(np.arange(len(x)), near.shape[1])
-                yield pa.RecordBatch.from_arrays([some.column(name).take(pa.array(rows)), some.column("v").take(pa.array(rows)), pa.array(near.ravel().astype(np.int32))], [name, "v", "cell"])
+            for some, far in _from_centres(batch, "v", centres, squares):
+                near = np.sort(np.argpartition(far, n - 1, axis=1)[:, :n] if n < len(centres) else np.tile(np.arange(len(centres)), (len(far), 1)), axis=1)
+                cells = pa.ListArray.from_arrays(pa.array(np.arange(0, near.size + 1, near.shape[1], dtype=np.int32)), pa.array(near.ravel().astype(np.int32)))
+                yield pa.RecordBatch.from_arrays([some.column(name), some.column("v"), cells], [name, "v", "cells"])
 
-    return df.select(name, "v").mapInArrow(run, f"{name} {kind}, v array<double>, cell int")
+    return df.select(name, "v").mapInArrow(run, f"{name} {kind}, v array<double>, cells array<int>").select(name, "v", F.explode("cells").alias("cell"))
 
 
 def build_cells(docs: DataFrame, metric: str = "cosine", doc_id: str = "id", doc_vec: str = "embedding", sample: int = SAMPLE, cell_rows: int = CELL_ROWS, max_cells: int = MAX_CELLS) -> CellIndex | None:
@@ -149,9 +160,8 @@ def tune_probes(index: CellIndex, k: int = 10, target: float = RECALL, sample: i
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if batch.num_rows:
-                x, cell = batch.column("embedding").flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, -1), batch.column("cell").to_numpy()
-                far = squares - 2 * x @ centres.T
+            for some, far in _from_centres(batch, "embedding", centres, squares):
+                cell = some.column("cell").to_numpy()
                 yield pa.RecordBatch.from_arrays([pa.array((far < far[np.arange(len(cell)), cell][:, None]).sum(1) + 1)], ["place"])
 
     for row in cells.mapInArrow(place, "place long").groupBy("place").count().collect():  # one row a cell at most

@@ -33,6 +33,19 @@ def test_all_probes_are_exact_and_tuned_probes_find_most(spark, metric, monkeypa
     assert index.rows.count() == 1_500 and index.rows.groupBy("cell", "part").count().agg({"count": "max"}).first()[0] < 120
 
 
+def test_distances_to_centres_are_held_in_bounded_slices(spark, monkeypatch):
+    monkeypatch.setattr(C, "DISTANCES", 200)
+    x, centres = clustered(3, 90), clustered(4, 40)
+    batch = frame(spark, x).toArrow().combine_chunks().to_batches()[0]
+    held = list(C._from_centres(batch, "embedding", centres, (centres * centres).sum(1)))
+    assert sum(some.num_rows for some, _ in held) == 90 and max(far.size for _, far in held) <= 200
+    order = np.argsort(((x[:, None] - centres) ** 2).sum(2), axis=1, kind="stable")
+    for n in (1, 7, 40):  # a row for each of the nearest cells, each with its vector
+        got = C._nearest(frame(spark, x).withColumnRenamed("embedding", "v"), "id", centres, n).collect()
+        assert {(r.id, r.cell) for r in got} == {(i, c) for i in range(90) for c in order[i, :n].tolist()} and len(got) == 90 * n
+        assert all(r.v == x[r.id].tolist() for r in got)
+
+
 def test_vectors_without_numbers_are_left_out(spark):
     docs = spark.createDataFrame([(1, [1.0, 0.0]), (2, None), (3, [float("nan"), 1.0]), (4, [0.0, 0.0]), (5, [1.0, 0.0]), (6, [0.0, None])], "id long, embedding array<double>")
     index = C.tune_probes(C.build_cells(docs), 2)
