@@ -4,7 +4,7 @@ import random
 import pytest
 from pyspark.sql import Window, functions as F
 
-from guichet.operators import sampling as S
+from guichet.operators import ranks, sampling as S
 from guichet.operators import quality as Q
 from guichet.operators.ranks import bucketed_rank
 
@@ -98,6 +98,19 @@ def test_bucketed_rank_equals_row_number(spark):
     assert got.select("k", "d", F.col("rank").cast("int")).exceptAll(want).count() == 0 and got.count() == 5000
 
 
+def test_ranking_is_dealt_to_bounded_tasks_and_null_keys_are_keys(spark, monkeypatch):
+    monkeypatch.setattr(ranks, "TASK_ROWS", 100)
+    given = [(None if i % 50 == 0 else i // 3, i) for i in range(6_000)]
+    got = ranks.sorted_rank(spark.createDataFrame(given, "k int, d int"), ["k"], ["d"]).withColumn("task", F.spark_partition_id())
+    places = {}
+    for k, d in sorted(given, key=lambda r: r[1]):
+        places.setdefault(k, []).append(d)
+    rows = got.collect()
+    assert {(r.k, r.d, r["rank"]) for r in rows} == {(k, d, n) for k, held in places.items() for n, d in enumerate(held, 1)} and len(rows) == 6_000
+    sizes = collections.Counter(r.task for r in rows if r.k is not None)
+    assert len(sizes) > 30 and max(sizes.values()) < 400
+
+
 def test_unique_ids_with_one_hot_id(spark):
     df = spark.range(3000).select(F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("x"), F.col("id").cast("string"))).alias("name"), F.col("id").alias("row"))
     out = {r.row: r.unique for r in S.unique_ids(df, "name", ["row"], out="unique").collect()}
