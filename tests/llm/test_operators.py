@@ -694,6 +694,74 @@ def test_network_sees_keys_without_digits(spark):
 
 
 
+def key_texts(n, seed=8):
+    r = random.Random(seed)
+    sign = lambda signs, n: "".join(r.choice(signs) for _ in range(n))
+    words = lambda: " ".join(sign("abcdefgilmnorstu", r.randint(2, 14)) for _ in range(12))
+    return [f"{words()} token = \"{sign('0123456789abcdefABCDEF', r.randint(8, 40))}\" {words()} {r.randint(10**9, 10**11)} {words()}" for _ in range(n)]
+
+
+def test_every_window_takes_part_in_training(spark):
+    texts = key_texts(301)
+    frame = lambda t: spark.createDataFrame(list(enumerate(t)), "doc_id long, text string").coalesce(2)
+    net, again, more = (secrets.train(frame(t), sample=20) for t in (texts[:300], texts[:300], texts))
+    values = lambda n: np.concatenate([n.embed.ravel(), n.kernel.ravel(), n.bias, n.out])
+    assert np.array_equal(values(net), values(again)) and net.threshold == again.threshold
+    assert not np.allclose(values(net), values(more), atol=1e-6)
+
+
+def test_threshold_comes_from_all_held_out_windows(spark):
+    texts = key_texts(400)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    net = secrets.train(df, sample=10)
+    rows = [(secrets.window_row(secrets.classes(t), s, min(e - s, secrets.SEEN)), min(e - s, secrets.SEEN)) for t in texts for s, e, g in secrets._labelled(t) if g == secrets.FOUND]
+    x, n = np.array([r[0] for r in rows]), np.array([r[1] for r in rows])
+    assert len(x) >= 400 and (net.probability(net.rows(x, n)) >= net.threshold).mean() >= 0.9
+    z, y, times = secrets._logits(df.select("text"), net)
+    others = sum(len(secrets.windows(s, e)) for t in texts for s, e in secrets.candidates(t, secrets.base_spans(t)))
+    assert times[y == 0].sum() == others and times[y > 0].sum() == 3 * len(x)
+
+
+def test_logits_in_bins_give_the_threshold_of_all():
+    r = np.random.default_rng(9)
+    z, y = r.integers(-200, 200, 5_000) * secrets.BIN, (r.random(5_000) < 0.1).astype(float)
+    both, times = np.unique(np.column_stack([z, y]), axis=0, return_counts=True)
+    one, many = secrets.CharNet.fresh().settle(both[:, 0], both[:, 1], times, 0.95), secrets.CharNet.fresh().settle(z, y, np.ones(len(z)), 0.95)
+    assert np.isclose(one.threshold, many.threshold) and np.isclose(one.recall, many.recall) and np.isclose(one.precision, many.precision) and one.recall >= 0.95
+
+
+def test_training_gradient():
+    r = np.random.default_rng(10)
+    net = secrets.CharNet.fresh()
+    net.bias = r.normal(0, 0.3, len(net.bias))
+    coded, starts, lengths = r.integers(0, 97, 4_000).astype(np.uint8), np.sort(r.integers(0, 3_900, 60)), r.integers(1, secrets.SEEN + 1, 60)
+    y, weights, values = (r.random(60) < 0.3).astype(float), r.random(60) / 60, net.values()
+
+    def loss(row):
+        m, total = net.with_values(row), 0.0
+        for s, n, label, weight in zip(starts, lengths, y, weights, strict=True):
+            seen = m.embed[coded[s:s + n + 2 * secrets.CONTEXT]]
+            top = np.max([seen[p:p + m.width].ravel() @ m.kernel for p in range(len(seen) - m.width + 1)], axis=0)
+            z = np.maximum(top + m.bias, 0) @ m.out + m.shift
+            total += weight * (np.logaddexp(0, z) - label * z)
+        return total
+
+    grads = net.gradient(coded, starts, lengths, y, weights)
+    flat = np.concatenate([grads[n].ravel() for n in secrets.NAMES] + [[grads["shift"]]])
+    for k in [*r.choice(len(flat), 12), len(flat) - 1, len(flat) - 2, len(flat) - 30]:
+        step = np.zeros(len(flat))
+        step[k] = 1e-5
+        assert np.isclose((loss(values + step) - loss(values - step)) / 2e-5, flat[k], rtol=1e-2, atol=1e-5)
+
+
+def test_training_on_odd_tables(spark, odd):
+    frame = lambda texts: spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    secrets.train(odd)
+    many = secrets.train(frame(["token=abcdefgh12345 zzzzzzzz1 " * 20_000]))
+    assert many.recall >= 0.95
+    assert secrets.train(frame([None, "", "nothing here"])).threshold == 1.0 and secrets.train(frame(["password=abcdefgh1"])).threshold == 1.0
+
+
 def test_threshold_keeps_recall_where_classes_overlap():
     r = np.random.default_rng(4)
     x, y = r.integers(2, 97, (600, secrets.WIDTH)).astype(np.uint8), (r.random(600) < 0.3).astype(float)
